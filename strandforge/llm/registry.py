@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import mixing, quality
 
 QUERIES = {
+    "op9_mix_sources": mixing.op9_mix_sources,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 SQL = {
+    "op9_mix_sources": mixing.OP9_SQL,
     "op10_quality_rules": quality.OP10_SQL,
 }
