@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import mixing, quality, sharding
 
 QUERIES = {
+    "op2_shard_by_splitters": sharding.op2_shard_by_splitters,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_quality_rules": quality.op10_quality_rules,
 }
