@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, sharding
+from . import mixing, packing, quality, sharding, tokens
 
 QUERIES = {
+    "op1_pack_hierarchical": packing.op1_pack_hierarchical,
+    "op4_token_counts": tokens.op4_token_counts,
     "op2_shard_by_splitters": sharding.op2_shard_by_splitters,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_quality_rules": quality.op10_quality_rules,
