@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import licenses, media, mixing, packing, quality, sharding, tokens, toxicity
+from . import html, licenses, media, mixing, packing, quality, sharding, tokens, toxicity
 
 QUERIES = {
+    "op8_html_wrappers": html.op8_html_wrappers,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_license_scan": licenses.op7_license_scan,
     "op5_media_columns": media.op5_media_columns,
