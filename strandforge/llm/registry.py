@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html, licenses, media, mixing, packing, quality, sharding, tokens, toxicity
+from . import html, jaccard, licenses, media, mixing, packing, quality, sharding, tokens, toxicity
 
 QUERIES = {
+    "op3_ngram_jaccard": jaccard.op3_ngram_jaccard,
     "op8_html_wrappers": html.op8_html_wrappers,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_license_scan": licenses.op7_license_scan,
