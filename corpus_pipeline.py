@@ -1,3 +1,56 @@
+"""The training-data pipeline: documents to packed sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a table that is written
+before the next one reads it. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from strandforge.llm import common, jaccard, mixing, packing, quality, toxicity
+
+#: A file for packing's token ids; any tokenizers file that all executors have.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.drop_toxic(docs, labels)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.drop_failing(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces without their ids: doc_id, start and length name them in the document's ids."""
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), with_ids=False).drop("ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality_rules", drop_low_quality),
+    ("ngram_jaccard", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: No SQL: the stages hash, learn and encode. Tests hold them against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = common.staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
