@@ -1 +1 @@
-
+"""Readers of text formats, and the entries that sources become."""
