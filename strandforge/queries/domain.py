@@ -265,7 +265,7 @@ def _(t):
     return precompute.decide_type(precompute.merge_type_paths(rows))
 
 
-@query("op_rna_type_insdc", "SELECT user_id, CASE WHEN len(x) > 0 THEN x ELSE y END AS types FROM (SELECT user_id, list_sort(list_filter(y, v -> v NOT IN ('misc_RNA', 'other'))) AS x, y FROM (SELECT user_id, list(DISTINCT CASE event_type WHEN 'click' THEN 'misc_RNA' WHEN 'view' THEN 'other' ELSE event_type END) AS y FROM events GROUP BY 1)) WHERE len(x) > 0")
+@query("op_rna_type_insdc", "SELECT * FROM (SELECT user_id, list_sort([v for v in y if v <> 'misc_RNA' AND v <> 'other']) AS types FROM (SELECT user_id, list(DISTINCT CASE event_type WHEN 'click' THEN 'misc_RNA' WHEN 'view' THEN 'other' ELSE event_type END) AS y FROM events GROUP BY 1)) WHERE len(types) > 0")
 def _(t):
     kind = F.when(F.col("event_type") == "click", "misc_RNA").when(F.col("event_type") == "view", "other").otherwise(F.col("event_type"))
     g = t("events").groupBy("user_id").agg(F.collect_set(kind).alias("t"))
@@ -332,13 +332,13 @@ def _features(t):
 
 @query(
     "op_gene_features",
-    """WITH e AS (SELECT l_orderkey AS k, l_linenumber AS n, l_orderkey * 40 + l_linenumber * 60 AS a, l_orderkey * 40 + l_linenumber * 60 + l_quantity::BIGINT AS b FROM lineitem),
-    r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY a, b) AS i, row_number() OVER (PARTITION BY k ORDER BY a DESC, b DESC) AS j FROM e), g AS (SELECT k, min(a) AS s FROM e GROUP BY k),
-    f AS (SELECT k, a, b FROM r WHERE (k % 2 = 0 AND i = 1) OR (k % 2 = 1 AND j = 1)),
-    p AS (SELECT x.k AS ka, y.k AS kb FROM g x JOIN g y ON x.k < y.k AND x.k % 2 = y.k % 2 AND abs(x.s - y.s) <= 200),
-    o AS (SELECT ka, kb, count(*) FILTER (least(x.b, y.b) > greatest(x.a, y.a) AND least((least(x.b, y.b) - greatest(x.a, y.a))::FLOAT / (x.b - x.a)::FLOAT, (least(x.b, y.b) - greatest(x.a, y.a))::FLOAT / (y.b - y.a)::FLOAT) >= 0.9::FLOAT) AS c FROM p JOIN r x ON x.k = ka JOIN r y ON y.k = kb AND y.i = x.i GROUP BY ALL)
-    SELECT 'T' || ka || ' vs T' || kb AS comparison, coalesce(c, 0) AS exons_overlapping, abs(x.a - y.a) AS five_prime_start_gap, abs(x.b - y.b) AS five_prime_stop_gap, round(least(greatest(least(x.b, y.b) - greatest(x.a, y.a), 0) / (x.b - x.a), greatest(least(x.b, y.b) - greatest(x.a, y.a), 0) / (y.b - y.a)), 6) AS five_prime_overlap,
-    CASE WHEN ka % 3 = kb % 3 THEN 1.0 ELSE 0.5 END::FLOAT AS type_sim FROM p LEFT JOIN o USING (ka, kb) JOIN f x ON x.k = ka JOIN f y ON y.k = kb""",
+    """WITH e AS (SELECT l_orderkey AS k, l_orderkey * 40 + l_linenumber * 60 AS a, l_orderkey * 40 + l_linenumber * 60 + l_quantity::BIGINT AS b FROM lineitem),
+    g AS MATERIALIZED (SELECT k, min(a) AS s, list(a ORDER BY a, b) AS aa, list(b ORDER BY a, b) AS bb, CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END AS at FROM e GROUP BY k),
+    p AS MATERIALIZED (SELECT x.k AS ka, y.k AS kb, x.aa AS xa, x.bb AS xb, y.aa AS ya, y.bb AS yb, x.aa[x.at] AS x1, x.bb[x.at] AS x2, y.aa[y.at] AS y1, y.bb[y.at] AS y2 FROM g x JOIN g y ON x.k < y.k AND x.at = y.at AND abs(x.s - y.s) <= 200)
+    SELECT 'T' || ka || ' vs T' || kb AS comparison,
+    len([i for i in range(1, least(len(xa), len(ya)) + 1) if least(xb[i], yb[i]) > greatest(xa[i], ya[i]) AND least((least(xb[i], yb[i]) - greatest(xa[i], ya[i]))::FLOAT / (xb[i] - xa[i])::FLOAT, (least(xb[i], yb[i]) - greatest(xa[i], ya[i]))::FLOAT / (yb[i] - ya[i])::FLOAT) >= 0.9::FLOAT]) AS exons_overlapping,
+    abs(x1 - y1) AS five_prime_start_gap, abs(x2 - y2) AS five_prime_stop_gap, round(least(greatest(least(x2, y2) - greatest(x1, y1), 0) / (x2 - x1), greatest(least(x2, y2) - greatest(x1, y1), 0) / (y2 - y1)), 6) AS five_prime_overlap,
+    CASE WHEN ka % 3 = kb % 3 THEN 1.0 ELSE 0.5 END::FLOAT AS type_sim FROM p""",
 )
 def _(t):
     return _features(t).select("comparison", "exons_overlapping", "five_prime_start_gap", "five_prime_stop_gap", F.round("five_prime_overlap", 6).alias("five_prime_overlap"), "type_sim")
