@@ -83,7 +83,12 @@ class Packer:
     def pack(self, last: bool = False) -> None:
         for size, shorter in zip(self.tiers, [*self.tiers[1:], 0]):
             while self.pool and self.pool[-1][0] > shorter:
-                window = [self.pool.pop()]
+                window: list = []
+                n, doc, start, ids = self.pool.pop()
+                if n > size:  # left by a longer tier that it could not fill: cut it
+                    insort(self.pool, (n - size, doc, start + size, ids[size * WIDTH :]))
+                    n, ids = size, ids[: size * WIDTH]
+                window.append((n, doc, start, ids))
                 if self.fill(size, window):
                     for piece in window:
                         insort(self.pool, piece)
@@ -92,8 +97,7 @@ class Packer:
         if last:  # what fills no window of the tier it belongs to
             left = sum(p[0] for p in self.pool)
             while left:
-                size = min(self.tiers[0], 1 << (left.bit_length() - 1))
-                window: list = []
+                size, window = min(self.tiers[0], 1 << (left.bit_length() - 1)), []
                 self.fill(size, window)
                 self.windows.append((size, window))
                 left -= size
