@@ -151,13 +151,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class WordIds:
-    """Ids of whole texts from a tokenizers file, each distinct word encoded once.
+    """Ids of whole texts from a tokenizers file, each distinct part of a word encoded once.
 
     It holds for a tokenizer whose pre-tokenizer drops white space and never
-    joins across it. encode() returns little-endian unsigned 32-bit ids.
+    joins across it. Words of ASCII and Latin letters are divided further, into
+    what PARTS gives, if the file's normalizer and pre-tokenizer are those that
+    PARTS stands for; other words go to the library as they are. encode()
+    returns little-endian unsigned 32-bit ids.
     """
 
+    #: The pre-tokenizer's pattern, and the same for words in lower case of ASCII and Latin letters.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+
     def __init__(self, path: str, store: int = STORE) -> None:
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -165,16 +174,45 @@ class WordIds:
 
         self.model, self.store = Tokenizer.from_file(path), store
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.blank = re.compile("[ \t\n\x0b\x0c\r]+")
+        spec = json.loads(self.model.to_str())
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        patterns = [t.get("pattern", {}).get("Regex") for t in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.divides = kinds == ["NFC", "Replace", "Lowercase"] and patterns[:1] == [self.PATTERN] and bool(suffix)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        ends = np.zeros(self.model.get_vocab_size(), bool)
+        for piece, k in self.model.get_vocab().items():
+            ends[k] = bool(suffix) and piece.endswith(suffix)
+        self.ends = ends
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """Encodes them joined by blanks; each ends where a piece ends a word."""
+        for at in range(0, len(parts), 500):
+            some = parts[at : at + 500]
+            ids = self.ids([" ".join(some)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            pieces = np.split(ids, cuts[:-1]) if len(cuts) == len(some) and cuts[-1] == len(ids) else self.ids(some)
+            self.parts.update(zip(some, (x.tobytes() for x in pieces)))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.store:
-            self.known.clear()
-        new = list(words)
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        odd, divided = [], {}
+        for w in words:
+            if self.divides and self.PLAIN.fullmatch(w) and not any(a in w for a in self.added):
+                divided[w] = self.PARTS.findall(w.lower())
+            else:
+                odd.append(w)
+        if len(self.parts) > self.store:
+            self.parts.clear()
+        self.learn_parts(list({p for of in divided.values() for p in of if p not in self.parts}))
+        parts = self.parts
+        for w, of in divided.items():
+            self.known[w] = b"".join([parts[p] for p in of])
+        self.known.update(zip(odd, (x.tobytes() for x in self.ids(odd)) if odd else ()))
 
     def encode(self, text: str) -> bytes:
         words, known = self.blank.split(text), self.known
@@ -184,9 +222,10 @@ class WordIds:
             pass
         new = {w for w in words if w not in known}
         if len(known) + len(new) > self.store:
+            known.clear()
             new = set(words)
         self.learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+        return b"".join(map(known.__getitem__, words))
 
 
 @cache
