@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 SCHEMAS = {
     "rna": "id long, upi string, crc64 string, len long, seq_short string, seq_long string, md5 string",
     "xref": "dbid int, ac string, upi string, version int, version_i int, created int, last int, deleted string, taxid long",
-    "rnc_accessions": "accession string, database string, external_id string, optional_id string, rna_type string, gene string, description string, species string",
-    "rnc_database": "id int, descr string, display_name string, alive string, num_sequences long",
-    "rnc_release": "id int, dbid int, release_date timestamp, release_type string, status string",
-    "rnc_rna_precomputed": "id string, upi string, taxid long, is_active boolean, description string, short_description string, rna_type string, so_rna_type string, databases string, has_coordinates boolean, last_release int",
+    "accessions": "accession string, database string, external_id string, optional_id string, rna_type string, gene string, description string, species string",
+    "databases": "id int, descr string, display_name string, alive string, num_sequences long",
+    "releases": "id int, dbid int, release_date timestamp, release_type string, status string",
+    "precomputed": "id string, upi string, taxid long, is_active boolean, description string, short_description string, rna_type string, so_rna_type string, databases string, has_coordinates boolean, last_release int",
     "qa_status": "rna_id string, has_issue boolean, incomplete_sequence boolean, possible_contamination boolean, missing_rfam_match boolean, from_repetitive_region boolean, possible_orf boolean, possible_orf_stopfree boolean, possible_orf_tcode boolean, messages array<string>",
-    "rnc_sequence_regions": "region_id string, region_name string, assembly_id string, urs_taxid string, chromosome string, strand int, region_start long, region_stop long, exon_count int",
-    "rnc_sequence_exons": "region_id string, assembly_id string, exon_start long, exon_stop long",
-    "rnc_genes": "name string, members array<string>, assembly_id string, chromosome string, strand int, start long, stop long, version int, first_release int, last_release int, is_active boolean",
+    "regions": "region_id string, region_name string, assembly_id string, urs_taxid string, chromosome string, strand int, region_start long, region_stop long, exon_count int",
+    "exons": "region_id string, assembly_id string, exon_start long, exon_stop long",
+    "genes": "name string, members array<string>, assembly_id string, chromosome string, strand int, start long, stop long, version int, first_release int, last_release int, is_active boolean",
 }
-PARTITIONS = {"xref": ["dbid", "deleted"], "rnc_sequence_regions": ["assembly_id"], "rnc_sequence_exons": ["assembly_id"]}
+PARTITIONS = {"xref": ["dbid", "deleted"], "regions": ["assembly_id"], "exons": ["assembly_id"]}
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -25,11 +25,7 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write(df: DataFrame, root: str, name: str, only_touched: bool = True) -> None:
-    """Replaces the table or, for a partitioned one, only the partitions that df has (the partition exchange).
-
-    Rows go to one task a partition value and hash of the row's key columns, so a large partition is
-    written by many tasks.
-    """
+    """Replaces the table or, for a partitioned one, only the partitions that df has (the partition exchange)."""
     columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
     keys = PARTITIONS.get(name)
     writer = df.select(*columns).write.mode("overwrite")

@@ -98,8 +98,8 @@ TABLES = {
 JSON = ["flybase", "lncipedia", "lncbook", "mirbase", "mirgenedb", "pombase", "sgd", "snodb", "snorna_database", "tair", "zfin", "zwd", "gtrnadb", "hgnc", "pdbe", "ribocentre", "5srrnadb", "mgnify", "plncdb"]
 
 
-def mitab_related(spark: SparkSession, path: str, prefix: str = "rnacentral:") -> DataFrame:
-    """source, target, relationship_type, methods of interactions in which one side is a sequence of the catalogue."""
+def mitab_related(spark: SparkSession, path: str, prefix: str) -> DataFrame:
+    """source, target, relationship_type, methods of interactions in which one side is a sequence of the catalogue: its name starts with prefix."""
     rows = readers.mitab(spark, path)
     name = lambda c: F.get(F.filter(F.concat(F.coalesce(F.col(f"id_{c}"), F.array()), F.coalesce(F.col(f"alt_{c}"), F.array())), lambda x: F.startswith(x, F.lit(prefix))), 0)
     other = lambda c: F.get(F.col(f"id_{c}"), 0)
