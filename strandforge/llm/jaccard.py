@@ -6,8 +6,9 @@ rare first: by the n-gram's frequency class, from counters of all documents'
 n-grams (as many as the corpus needs, at most 2^24; the order changes speed and never
 the result), then by hash. Two sets with a Jaccard similarity of num / den share an
 n-gram in their prefixes in that order. Prefixes are dealt out by n-gram; pairs must
-pass the length and the positional filter there, a suffix filter before they are
-verified, and each distinct pair is verified once, with the whole sets.
+pass the length filter there, then a filter on how many n-grams of their prefixes
+they share and the positional filter, a suffix filter before they are verified,
+and each distinct pair is verified once, with the whole sets.
 
 To keep large groups of near copies from making all pairs, it goes in two
 rounds. First each n-gram links its classes to centres (stars), those pairs are
@@ -42,6 +43,8 @@ WORDS, NUM, DEN = 5, 80, 100
 STORE, COUNTER_BYTES, COUNTERS = 400_000, 256, (16, 24)
 #: Counters of a slice; index entries of a chunk of pairs; partners of a centre that are verified together.
 SLICE, CHUNK, TOGETHER = 1 << 16, 1 << 20, 512
+#: Keys that are sent to all executors (two numbers each); more are joined by shuffling.
+BROADCAST_KEYS = 1_000_000
 #: Buckets of the index for each shuffle partition.
 SPREAD = 4
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -268,47 +271,66 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[d
 
 
 class _Pairs:
-    """Distinct pairs of keys, given out in batches of bounded size."""
+    """Pairs of keys with what they share so far, added up in batches of bounded size."""
+
+    COLUMNS = ("a", "b", "na", "nb", "shared", "rest")
 
     def __init__(self) -> None:
-        self.held: list[np.ndarray] = []
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        if len(a):
-            self.held.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-            self.size += len(a)
-        if self.size > CHUNK:
+    def add(self, g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> None:
+        """Members i and j of a group have its n-gram in common."""
+        if len(i):
+            swap = g["key"][i] > g["key"][j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            rest = np.minimum(g["n"][i] - g["pos"][i], g["n"][j] - g["pos"][j])
+            self.held.append((g["key"][i], g["key"][j], g["n"][i], g["n"][j], np.ones(len(i), np.int64), rest))
+            self.size += len(i)
+        if self.size > 2 * CHUNK:
             self.squeeze()
 
     def squeeze(self) -> None:
         if self.held:
-            self.held = [np.unique(np.concatenate(self.held), axis=0)]
-            self.size = len(self.held[0])
+            a, b, na, nb, shared, rest = (np.concatenate(c) for c in zip(*self.held))
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            self.held = [(a[first], b[first], na[order][first], nb[order][first], np.add.reduceat(shared[order], first), np.maximum.reduceat(rest[order], first))]
+            self.size = len(first)
 
     def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        if last:
-            self.squeeze()
-        if self.held and (last or self.size > CHUNK // 2):
+        if self.held and (last or self.size > CHUNK):
             self.squeeze()
-            p = self.held[0]
-            self.held, self.size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(p[:, 0])), pa.array(np.ascontiguousarray(p[:, 1]))], names=["a", "b"])
+            if last or self.size > CHUNK // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in self.held[0]], names=list(self.COLUMNS))
+                self.held, self.size = [], 0
+
+
+_PAIRS = ", ".join(f"{c} long" for c in _Pairs.COLUMNS)
 
 
-def _candidates(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Which pairs of members pass the length, prefix and positional filters."""
-    swap = (g["n"][i] > g["n"][j]) | ((g["n"][i] == g["n"][j]) & (g["key"][i] > g["key"][j]))
-    i, j = np.where(swap, j, i), np.where(swap, i, j)
-    a, b, pa_, pb = g["n"][i], g["n"][j], g["pos"][i], g["pos"][j]
-    need = overlap_of(a, b, num, den)
-    # the shorter set's first common n-gram lies in its prefix for sets as long or longer, which is shorter than its own
-    ok = (a * den >= num * b) & (pa_ <= a - overlap_of(a, a, num, den)) & (np.minimum(a - pa_, b - pb) >= need)
-    return ok
+def candidates(pairs: DataFrame, num: int, den: int, part: int = 1) -> DataFrame:
+    """Pairs (a, b) that can be linked, from the partial rows of n-grams that they share.
+
+    Prefixes of n - ceil(t n) + 1 n-grams share at least `overlap - ceil(t n) + 1` of them
+    for the longer set of a linked pair (an n-gram that both sets have stands, in each, behind at most as many
+    others as the set may have alone). The positional filter asks that from their
+    first common n-gram on, both have enough members left. With part, a part of the count is enough.
+    """
+    ceil_div = lambda x, y: -F.floor(-x / y)
+    both = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared"), F.max("rest").alias("rest"))
+    overlap = ceil_div((F.col("na") + F.col("nb")) * num, num + den)
+    needed = F.greatest(F.lit(1), overlap - ceil_div(F.greatest("na", "nb") * num, den) + 1)
+    similar = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    return both.where(similar & (F.col("shared") * part >= needed) & (F.col("rest") >= overlap)).select("a", "b")
 
 
 def star_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of each n-gram's classes with a centre of similar length."""
+    """Candidate pairs (a, b) of each n-gram's classes with a centre of similar length.
+
+    Which n-grams have which centre is chance, so half of the needed count is enough here.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs()
@@ -321,16 +343,16 @@ def star_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
                 if end > start + 1:
                     centre = start + int(np.argmin(g["key"][start:end]))
                     others = np.delete(np.arange(start, end), centre - start)
-                    pairs.add(np.full(len(others), g["key"][centre]), g["key"][others])
+                    pairs.add(g, np.full(len(others), centre), others)
                 start = max(end, start + 1)
             yield from pairs.batches()
         yield from pairs.batches(last=True)
 
-    return index.mapInArrow(run, "a long, b long").distinct()
+    return candidates(index.mapInArrow(run, _PAIRS), num, den, 2)
 
 
 def cross_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components. index: gram, key, n, pos, comp."""
+    """Candidate pairs (a, b) of classes in different components. index: gram, key, n, pos, comp."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs()
@@ -348,13 +370,11 @@ def cross_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
                 i = np.repeat(rows, counts)
                 j = np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + i + 1
                 apart = g["comp"][i] != g["comp"][j]
-                i, j = i[apart], j[apart]
-                ok = _candidates(g, i, j, num, den)
-                pairs.add(g["key"][i[ok]], g["key"][j[ok]])
+                pairs.add(g, i[apart], j[apart])
                 yield from pairs.batches()
         yield from pairs.batches(last=True)
 
-    return index.mapInArrow(run, "a long, b long").distinct()
+    return candidates(index.mapInArrow(run, _PAIRS), num, den)
 
 
 def sets_of(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
@@ -369,6 +389,8 @@ def sets_of(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
             yield out.filter(pa.array([k == w for k, w in zip(keys, b.column("_key").to_pylist())]))
 
     wanted = keys.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    if keys.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
     return docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_key", "text").mapInArrow(run, "key long, grams binary").dropDuplicates(["key"])
 
 
@@ -435,7 +457,8 @@ def similarity_join(docs: DataFrame, words: int = WORDS, num: int = NUM, den: in
     def links(pairs: DataFrame) -> DataFrame:
         pairs = common.staged(pairs, "pairs")
         nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        sets = common.staged(sets_of(docs, one.join(nodes, "key", "left_semi"), words), "grams")
+        chosen = common.staged(one.join(nodes, "key", "left_semi"), "nodes")
+        sets = common.staged(sets_of(docs, chosen, words), "grams")
         return common.staged(verified(pairs, sets, num, den), "links")
 
     by_gram = lambda df: df.repartition("gram").sortWithinPartitions("gram")
