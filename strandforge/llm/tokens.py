@@ -165,7 +165,7 @@ class WordIds:
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 
-    def __init__(self, path: str, store: int = STORE) -> None:
+    def __init__(self, path: str, store: int = 2 * STORE) -> None:
         import json
         import os
 
@@ -182,6 +182,7 @@ class WordIds:
         suffix = spec["model"].get("end_of_word_suffix")
         self.divides = kinds == ["NFC", "Replace", "Lowercase"] and patterns[:1] == [self.PATTERN] and bool(suffix)
         self.added = [t["content"] for t in spec["added_tokens"]]
+        self.divides = self.divides and all("<" in a for a in self.added)
         ends = np.zeros(self.model.get_vocab_size(), bool)
         for piece, k in self.model.get_vocab().items():
             ends[k] = bool(suffix) and piece.endswith(suffix)
@@ -200,13 +201,13 @@ class WordIds:
             self.parts.update(zip(some, (x.tobytes() for x in pieces)))
 
     def learn(self, words: set[str]) -> None:
-        odd, divided = [], {}
+        odd, divided, plain, divide = [], {}, self.PLAIN.fullmatch, self.PARTS.findall
         for w in words:
-            if self.divides and self.PLAIN.fullmatch(w) and not any(a in w for a in self.added):
-                divided[w] = self.PARTS.findall(w.lower())
+            if self.divides and plain(w) and not ("<" in w and any(a in w for a in self.added)):
+                divided[w] = divide(w.lower())
             else:
                 odd.append(w)
-        if len(self.parts) > self.store:
+        if len(self.parts) > STORE:
             self.parts.clear()
         self.learn_parts(list({p for of in divided.values() for p in of if p not in self.parts}))
         parts = self.parts
