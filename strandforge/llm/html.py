@@ -9,12 +9,16 @@ wrappers of a host are folded; a host that has a third of all pages gives one
 partial wrapper a task.
 
 A page is then read again with its host's wrapper. Elements that are never part
-of an article by their name, role or class go. The article is the element that says so
-(<article>, <main>); without one, the wrapper's element that holds most of the
-text in slots, without the texts that the template repeats on every page.
+of an article by their name, role or class go. Of the rest, the wrapper's element
+that holds most of the text in slots is the article. Elements that say that they are
+it (<article>, <main>, a class) are a hint: they bound the article where the wrapper
+has slot text in them, on the way to that element or below it, and are passed over
+where it does not. Texts that stand at one place on nearly every page of the host are
+the template's and go, inside the article too.
 
 Defined results: a null html gives the empty text; a null or odd url belongs to
-the host ""; a host with one page has no template texts; damaged markup is read
+the host ""; a host with one page, or with equal pages only, has no template texts, and
+there the hint alone decides; damaged markup is read
 as far as it goes; repeated rows count each time; an empty table gives an
 empty table.
 """
@@ -25,7 +29,9 @@ import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -158,17 +164,17 @@ def parse(markup: str) -> Node:
     return root
 
 
-# A wrapper's node: [key, pages, optional, repeated, text, chars, children]; text is a
-# checksum while all pages agree on it and -1 for a slot; chars adds up slot text.
+# A wrapper's node: [key, pages, optional, repeated, text, chars, children, main]; text is a
+# checksum while all pages agree on it and -1 for a slot; chars adds up slot text; main is Node's.
 
 
 def wrapper_of(node: Node) -> list:
     """One page as a wrapper: equal neighbours folded into repeated groups."""
-    own = [node.key, 1, False, False, 0, 0, []]
+    own = [node.key, 1, False, False, 0, 0, [], node.main]
     for child in node.children:
         if child.out:
             continue
-        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), []] if child.key == "#" else wrapper_of(child)
+        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), [], 0] if child.key == "#" else wrapper_of(child)
         own[6].append(made)
     own[6] = fold(own[6])
     return own
@@ -185,7 +191,7 @@ def fold(children: list) -> list:
                     a[5], a[3] = a[5] + b[5], True
                     a[4] = a[4] if a[4] == b[4] else -1
                     a[6] = align(a[6], b[6])
-                    a[2] = a[2] or b[2]
+                    a[2], a[7] = a[2] or b[2], max(a[7], b[7])
                 del done[-size:]
                 break
     return done
@@ -218,7 +224,7 @@ def align(a: list, b: list) -> list:
 
 def merge(a: list, b: list) -> list:
     """The wrapper that both a and b match; both have the same key."""
-    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else -1, a[5] + b[5], align(a[6], b[6])]
+    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else -1, a[5] + b[5], align(a[6], b[6]), max(a[7], b[7])]
 
 
 def expression(w: list) -> str:
@@ -232,28 +238,38 @@ def _slots(w: list) -> int:
     return w[5] if w[0] == "#" and (w[4] == -1) else sum(map(_slots, w[6]))
 
 
-def content_path(w: list, most: float = 0.6) -> list[str]:
-    """Keys from the root to the deepest element with most of the text in slots."""
-    path, total = [w[0]], _slots(w)
+def content_path(w: list, most: float = 0.6) -> list[list]:
+    """Wrapper's nodes from the root to the deepest element with most of the text in slots."""
+    path, total = [w], _slots(w)
     while total:
         inner = max((c for c in w[6] if c[0] != "#" and not c[3]), key=_slots, default=None)
         if inner is None or _slots(inner) < most * total:
             break
-        path.append(inner[0])
+        path.append(inner)
         w = inner
     return path
 
 
-def template_texts(w: list, pages: int, path: str = "") -> set[str]:
-    """path:checksum of each text that stands on (nearly) every page alike."""
-    found: set[str] = set()
-    for c in w[6]:
-        if c[0] == "#":
-            if c[4] != -1 and not c[3] and c[1] >= 3 and c[1] >= 0.9 * pages:
-                found.add(f"{path}/{c[4]}")
-        else:
-            found |= template_texts(c, pages, f"{path}/{c[0]}")
-    return found
+def _marked(w: list, level: int) -> bool:
+    """Whether slot text stands in an element below w that is main to this level."""
+    return any(c[7] == level and _slots(c) > 0 or _marked(c, level) for c in w[6] if c[0] != "#")
+
+
+class Known:
+    """What a host's wrapper says of its pages: the path of the article, the strongest level of main elements that it bears out, and the template's texts."""
+
+    def __init__(self, w: list | None = None, template: frozenset[int] = frozenset()) -> None:
+        nodes = content_path(w) if w else []
+        self.path, self.template = [x[0] for x in nodes], template
+        # without slots nothing is known against the hint
+        self.level = 3
+        if w and _slots(w):
+            self.level = next((k for k in (3, 2, 1) if any(x[7] == k for x in nodes) or _marked(nodes[-1], k)), 0)
+
+
+def identity(path: str, text: str) -> int:
+    """A text at its place in the page, as 64 bits."""
+    return int.from_bytes(blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def _texts(node: Node, path: str, out: list[tuple[str, str]]) -> None:
@@ -264,89 +280,124 @@ def _texts(node: Node, path: str, out: list[tuple[str, str]]) -> None:
             _texts(c, f"{path}/{c.key}", out)
 
 
-def _mains(node: Node, found: list[Node], level: int) -> None:
+def _mains(node: Node, path: str, found: list[tuple[Node, str]], level: int) -> None:
     for c in node.children:
         if not c.out and c.key != "#":
             if c.main == level:
-                found.append(c)
+                found.append((c, f"{path}/{c.key}"))
             else:
-                _mains(c, found, level)
-
-
-def _size(node: Node) -> int:
-    out: list[tuple[str, str]] = []
-    _texts(node, "", out)
-    return sum(len(t) for _, t in out)
-
-
-def main_text(markup: str, path: list[str] = (), template: frozenset[str] = frozenset()) -> str:
-    """The article's blocks, joined by line feeds. path and template: of the host's wrapper."""
-    root = parse(markup)
-    for level in (3, 2, 1):
-        found: list[Node] = []
-        _mains(root, found, level)
-        sizes = [_size(c) for c in found]
+                _mains(c, f"{path}/{c.key}", found, level)
+
+
+def _blocks(root: Node, known: Known) -> list[tuple[str, str]]:
+    """Path and text of the article's blocks, those of the template among them."""
+    for level in range(known.level, 0, -1):
+        found: list[tuple[Node, str]] = []
+        _mains(root, "", found, level)
+        parts: list[list[tuple[str, str]]] = []
+        for c, at in found:
+            parts.append([])
+            _texts(c, at, parts[-1])
+        sizes = [sum(len(t) for _, t in x) for x in parts]
         if found and max(sizes):
             # short ones beside a long one are teasers
-            blocks: list[tuple[str, str]] = []
-            for c, n in zip(found, sizes):
-                if n * 4 >= max(sizes):
-                    _texts(c, "", blocks)
-            return "\n".join(t for _, t in blocks)
+            return [x for own, n in zip(parts, sizes) if n * 4 >= max(sizes) for x in own]
     node, at = root, ""
-    for key in list(path)[1:]:
+    for key in known.path[1:]:
         inner = [c for c in node.children if c.key == key and not c.out]
         if len(inner) != 1:
             break
         node, at = inner[0], f"{at}/{key}"
-    blocks = []
+    blocks: list[tuple[str, str]] = []
     _texts(node, at, blocks)
-    kept = [t for p, t in blocks if f"{p}/{zlib.crc32(t.encode())}" not in template]
-    return "\n".join(kept)
+    return blocks
 
 
-WRAPPER = "host string, part int, pages long, wrapper string"
+def main_text(markup: str, known: Known | None = None) -> str:
+    """The article's blocks, joined by line feeds. known: of the page's host."""
+    known = known or Known()
+    return "\n".join(t for p, t in _blocks(parse(markup), known) if not known.template or identity(p, t) not in known.template)
 
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """host, pages (how many), wrapper (JSON). pages: host, html."""
+PARTIAL = "host string, part int, pages long, wrapper string, texts long, text long, n long"
+WRAPPER = "host string, pages long, texts long, wrapper string"
+#: A text is the template's from this share of a host's pages on, and from so many pages.
+SHARE, LEAST = 0.9, 3
 
-    def folded(rows: Iterator[tuple[str, int, list]]) -> dict[str, tuple[int, list]]:
-        found: dict[str, tuple[int, list]] = {}
-        for host, n, w in rows:
-            if host in found:
-                m, have = found[host]
-                found[host] = (n + m, merge(have, w))
-            else:
-                found[host] = (n, w)
-        return found
 
-    def batch(found: dict[str, tuple[int, list]], part: int) -> pa.RecordBatch:
-        hosts = sorted(found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array([part] * len(hosts), pa.int32()), pa.array([found[h][0] for h in hosts], pa.int64()), pa.array([json.dumps(found[h][1]) for h in hosts], pa.string())],
-            names=["host", "part", "pages", "wrapper"],
-        )
+def _partials(pages: DataFrame) -> DataFrame:
+    """Of each task: a row with the wrapper of each host, and a row for each text at its place with the number of pages that have it."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        def rows() -> Iterator[tuple[str, int, list]]:
-            for whole in batches:
-                for at in range(0, whole.num_rows, common.SLICE):
-                    b = whole.slice(at, common.SLICE)
-                    for host, markup in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-                        if markup:
-                            yield host, 1, wrapper_of(parse(markup))
-
-        yield batch(folded(rows()), TaskContext.get().partitionId())
+        part, found, counts = TaskContext.get().partitionId(), {}, {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, common.SLICE):
+                b = whole.slice(at, common.SLICE)
+                for host, markup in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
+                    if markup:
+                        root, blocks = parse(markup), []
+                        _texts(root, "", blocks)
+                        counts.setdefault(host, Counter()).update({identity(p, t) for p, t in blocks})
+                        _fold(found, host, 1, wrapper_of(root))
+        for host in sorted(found):
+            yield made([host], [part], [found[host][0]], [json.dumps(found[host][1])], [counts[host].total()], [None], [None])
+            texts, ns = list(counts[host].keys()), list(counts[host].values())
+            for at in range(0, len(texts), 10000):
+                some = texts[at : at + 10000]
+                none = [None] * len(some)
+                yield made([host] * len(some), [part] * len(some), none, none, none, some, ns[at : at + 10000])
+
+    def made(*columns: list) -> pa.RecordBatch:
+        kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
+        fields = [x.split() for x in PARTIAL.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+    return pages.select("host", "html").mapInArrow(first, PARTIAL)
+
+
+def _fold(found: dict[str, tuple[int, list]], host: str, n: int, w: list) -> None:
+    if host in found:
+        m, have = found[host]
+        found[host] = (n + m, merge(have, w))
+    else:
+        found[host] = (n, w)
+
+
+def _whole(partials: DataFrame) -> DataFrame:
+    """host, pages (how many), texts (of all pages, each once a page), wrapper (JSON)."""
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((r["host"], r["part"], r["pages"], r["wrapper"]) for b in batches for r in b.to_pylist())
-        yield batch(folded((h, n, json.loads(w)) for h, _, n, w in got), 0)
+        got = sorted((r["host"], r["part"], r["pages"], r["texts"], r["wrapper"]) for b in batches for r in b.to_pylist())
+        found: dict[str, tuple[int, list]] = {}
+        texts: Counter = Counter()
+        for host, _, n, k, w in got:
+            _fold(found, host, n, json.loads(w))
+            texts[host] += k
+        hosts = sorted(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array([found[h][0] for h in hosts], pa.int64()), pa.array([texts[h] for h in hosts], pa.int64()), pa.array([json.dumps(found[h][1]) for h in hosts], pa.string())],
+            names=["host", "pages", "texts", "wrapper"],
+        )
+
+    return partials.where("wrapper IS NOT NULL").select("host", "part", "pages", "texts", "wrapper").repartition("host").mapInArrow(second, WRAPPER)
+
+
+def infer_wrappers(pages: DataFrame) -> DataFrame:
+    """host, pages (how many), texts, wrapper (JSON). pages: host, html."""
+    return _whole(_partials(pages))
+
 
-    partial = pages.select("host", "html").mapInArrow(first, WRAPPER)
-    return partial.repartition("host").mapInArrow(second, WRAPPER).drop("part")
+def known_hosts(pages: DataFrame) -> DataFrame:
+    """host, wrapper (JSON), template (identities of its texts). pages: host, html."""
+    partials = common.staged(_partials(pages), "partials")
+    whole = common.staged(_whole(partials), "wrappers")
+    counts = partials.where("text IS NOT NULL").groupBy("host", "text").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    fixed = counts.join(whole.select("host", "pages", "texts"), "host").where(F.col("n") >= SHARE * F.col("pages"))
+    # where all texts are the template's, the pages are equal and tell nothing
+    template = fixed.groupBy("host", "texts").agg(F.sum("n").alias("n"), F.collect_list("text").alias("template")).where("n < texts").select("host", "template")
+    return common.staged(whole.select("host", "wrapper").join(template, "host", "left"), "hosts")
 
 
 def host_of(url: str = "url"):
@@ -360,21 +411,22 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """keep's columns (default: all but html), text and n_chars. The wrappers are joined by host without a hint."""
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")] if keep is None else keep
     read = pages.select(*[F.col(f"`{c}`") for c in keep], F.col("html").cast("string").alias("_html"), host_of().alias("_host"))
-    wrappers = common.staged(infer_wrappers(read.select(F.col("_host").alias("host"), F.col("_html").alias("html"))), "wrappers")
-    joined = read.join(wrappers.select(F.col("host").alias("_host"), F.col("pages").alias("_pages"), F.col("wrapper").alias("_wrapper")), "_host", "left")
+    hosts = known_hosts(read.select(F.col("_host").alias("host"), F.col("_html").alias("html")))
+    joined = read.join(hosts.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("template").alias("_template")), "_host", "left")
 
     def compute():
-        known: dict[str, tuple[list[str], frozenset[str]]] = {}
+        hosts: dict[str, Known] = {}
 
         def f(b: pa.RecordBatch) -> list[pa.Array]:
             texts = []
-            for markup, host, n, w in zip(*(b.column(c).to_pylist() for c in ("_html", "_host", "_pages", "_wrapper"))):
-                if host not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    tree = json.loads(w) if w else ["root", 0, False, False, 0, 0, []]
-                    known[host] = (content_path(tree), frozenset(template_texts(tree, n or 0)) if _slots(tree) else frozenset())
-                texts.append(main_text(markup or "", *known[host]))
+            wrappers, templates = b.column("_wrapper"), b.column("_template")
+            for k, (markup, host) in enumerate(zip(b.column("_html").to_pylist(), b.column("_host").to_pylist())):
+                if host not in hosts:
+                    if len(hosts) > 1000:
+                        hosts.clear()
+                    w = wrappers[k].as_py()
+                    hosts[host] = Known(json.loads(w) if w else None, frozenset(templates[k].as_py() or ()))
+                texts.append(main_text(markup or "", hosts[host]))
             return [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
 
         return f

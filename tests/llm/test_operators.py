@@ -330,6 +330,23 @@ def test_damaged_pages():
     assert html.main_text("<p title='>'>x</p><!-- open") == "x"
 
 
+def extracted(spark, pages):
+    """Texts of pages of one host."""
+    df = spark.createDataFrame([(i, f"https://h.i/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_wrapper_rules_inside_an_article(spark):
+    notice = "<p>Pass this page on to your friends</p>"
+    pages = [f"<body><div><article><h1>Title {i}</h1>{notice if i != 7 else ''}<p>One {i}</p><p>Two {i}</p>{notice if i != 7 else ''}</article></div></body>" for i in range(12)]
+    assert extracted(spark, pages) == [f"Title {i}\nOne {i}\nTwo {i}" for i in range(12)]
+    # the marked element is a hint only: where the slots are elsewhere, it is not the article
+    pages = [f"<body><article><p>Same words</p></article><div class='t'><p>One {i} of many words</p><p>Two {i}</p></div></body>" for i in range(5)]
+    assert extracted(spark, pages) == [f"One {i} of many words\nTwo {i}" for i in range(5)]
+    # equal pages tell nothing of a template
+    assert extracted(spark, ["<body><article><p>a</p><p>b</p></article><p>c</p></body>"] * 4) == ["a\nb"] * 4
+
+
 # 9 mixing
 
 
