@@ -13,7 +13,9 @@ of an article by their name, role or class go. Of the rest, the wrapper's elemen
 that holds most of the text in slots is the article. Elements that say that they are
 it (<article>, <main>, a class) are a hint: they bound the article where the wrapper
 has slot text in them, on the way to that element or below it, and are passed over
-where it does not. Texts that stand at one place on nearly every page of the host are
+where it does not. Of several such elements all stay, unless the wrapper has them as
+a repeated group in which each has a line that links to another page, beside
+others that are none: teasers. Texts that stand at one place on nearly every page of the host are
 the template's and go, inside the article too.
 
 Defined results: a null html gives the empty text; a null or odd url belongs to
@@ -72,18 +74,20 @@ CLOSES = {
 DEPTH = 200
 SCOPE = frozenset("html body article section div main nav aside header footer table ul ol dl form blockquote td th".split())
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: An address that is not a place in the same page.
+LINK = re.compile(r"(?:^|\s)href\s*=\s*[\"']?\s*[^\s\"'#]", re.I)
 CLASS_WORD = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    """An element: key (tag and classes), whether it is out, main or a wrapper's optional or repeated part; texts between children are nodes with key #."""
+    """An element: key (tag and classes), whether it is out, main or a wrapper's optional or repeated part; texts between children are nodes with key #, linked if all of the text is a link to another page."""
 
-    __slots__ = ("key", "tag", "out", "main", "children", "text")
+    __slots__ = ("key", "tag", "out", "main", "children", "text", "linked")
 
     def __init__(self, key: str, tag: str, out: bool = False, main: int = 0) -> None:
         self.key, self.tag, self.out, self.main = key, tag, out, main
         self.children: list[Node] = []
-        self.text = ""
+        self.text, self.linked = "", False
 
 
 def _classify(tag: str, attributes: str) -> tuple[str, bool, int]:
@@ -107,31 +111,38 @@ def parse(markup: str) -> Node:
     """The tree of block elements; inline elements leave their text to the block."""
     root = Node("root", "root")
     stack, text = [root], []
+    link, plain = False, False  # within a link to another page; whether text holds words outside of one
 
     def flush() -> None:
+        nonlocal plain
         if text:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
                 leaf = Node("#", "#")
-                leaf.text = joined
+                leaf.text, leaf.linked = joined, not plain
                 stack[-1].children.append(leaf)
+        plain = False
 
     inline_out: list[str] = []  # open inline elements that are out: their text is dropped
     for m in TOKEN.finditer(markup):
         if (t := m["text"]) is not None:
             if not inline_out:
                 text.append(entities.unescape(t) if "&" in t else t)
+                plain = plain or not (link or t.isspace())
             continue
         tag = m["tag"]
         if tag is None:
             if m[0].startswith("<![CDATA[") and not inline_out:
                 text.append(m[0][9:].removesuffix("]]>"))
+                plain = plain or not link
             continue
         tag = tag.lower()
         if tag == "br" or tag == "hr":
             flush()
         elif tag in INLINE:
+            if tag == "a":
+                link = not m["close"] and bool(LINK.search(m["attr"]))
             if m["close"]:
                 if tag in inline_out:
                     del inline_out[len(inline_out) - 1 - inline_out[::-1].index(tag) :]
@@ -165,7 +176,8 @@ def parse(markup: str) -> Node:
 
 
 # A wrapper's node: [key, pages, optional, repeated, text, chars, children, main]; text is a
-# checksum while all pages agree on it and -1 for a slot; chars adds up slot text; main is Node's.
+# checksum while all pages agree on it and -1 for a slot; chars adds up slot text;
+# main is Node's, or for a text whether it is linked on all pages.
 
 
 def wrapper_of(node: Node) -> list:
@@ -174,7 +186,7 @@ def wrapper_of(node: Node) -> list:
     for child in node.children:
         if child.out:
             continue
-        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), [], 0] if child.key == "#" else wrapper_of(child)
+        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), [], int(child.linked)] if child.key == "#" else wrapper_of(child)
         own[6].append(made)
     own[6] = fold(own[6])
     return own
@@ -191,7 +203,7 @@ def fold(children: list) -> list:
                     a[5], a[3] = a[5] + b[5], True
                     a[4] = a[4] if a[4] == b[4] else -1
                     a[6] = align(a[6], b[6])
-                    a[2], a[7] = a[2] or b[2], max(a[7], b[7])
+                    a[2], a[7] = a[2] or b[2], _hint(a, b)
                 del done[-size:]
                 break
     return done
@@ -224,7 +236,11 @@ def align(a: list, b: list) -> list:
 
 def merge(a: list, b: list) -> list:
     """The wrapper that both a and b match; both have the same key."""
-    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else -1, a[5] + b[5], align(a[6], b[6]), max(a[7], b[7])]
+    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else -1, a[5] + b[5], align(a[6], b[6]), _hint(a, b)]
+
+
+def _hint(a: list, b: list) -> int:
+    return min(a[7], b[7]) if a[0] == "#" else max(a[7], b[7])
 
 
 def expression(w: list) -> str:
@@ -255,14 +271,37 @@ def _marked(w: list, level: int) -> bool:
     return any(c[7] == level and _slots(c) > 0 or _marked(c, level) for c in w[6] if c[0] != "#")
 
 
+def _headed(w: list) -> bool:
+    """Whether an element has a line on all pages that is a link to another page."""
+    return any((c[7] == 1 if c[0] == "#" else _headed(c)) for c in w[6] if not c[2])
+
+
+def _teasers(w: list, level: int, path: str = "", repeated: bool = False) -> tuple[set[str], set[str]]:
+    """Paths of main elements of the level: those in repeated groups of which each is headed by a link to another page, and the others."""
+    teasers: set[str] = set()
+    others: set[str] = set()
+    for c in w[6]:
+        if c[0] != "#":
+            at, again = f"{path}/{c[0]}", repeated or c[3]
+            if c[7] == level:
+                (teasers if again and _headed(c) else others).add(at)
+            else:
+                x, y = _teasers(c, level, at, again)
+                teasers, others = teasers | x, others | y
+    return teasers, others
+
+
 class Known:
-    """What a host's wrapper says of its pages: the path of the article, the strongest level of main elements that it bears out, and the template's texts."""
+    """What a host's wrapper says of its pages: the path of the article, the strongest level of main elements that it bears out, paths of teasers by level, and the template's texts."""
 
     def __init__(self, w: list | None = None, template: frozenset[int] = frozenset()) -> None:
         nodes = content_path(w) if w else []
         self.path, self.template = [x[0] for x in nodes], template
         # without slots nothing is known against the hint
-        self.level = 3
+        self.level, self.teasers = 3, {}
+        for k in (3, 2, 1) if w else ():
+            teasers, others = _teasers(w, k)
+            self.teasers[k] = frozenset(teasers - others if others else ())
         if w and _slots(w):
             self.level = next((k for k in (3, 2, 1) if any(x[7] == k for x in nodes) or _marked(nodes[-1], k)), 0)
 
@@ -294,21 +333,19 @@ def _blocks(root: Node, known: Known) -> list[tuple[str, str]]:
     for level in range(known.level, 0, -1):
         found: list[tuple[Node, str]] = []
         _mains(root, "", found, level)
-        parts: list[list[tuple[str, str]]] = []
-        for c, at in found:
-            parts.append([])
-            _texts(c, at, parts[-1])
-        sizes = [sum(len(t) for _, t in x) for x in parts]
-        if found and max(sizes):
-            # short ones beside a long one are teasers
-            return [x for own, n in zip(parts, sizes) if n * 4 >= max(sizes) for x in own]
+        blocks: list[tuple[str, str]] = []
+        left = [x for x in found if x[1] not in known.teasers.get(level, ())]
+        for c, at in left or found:
+            _texts(c, at, blocks)
+        if blocks:
+            return blocks
     node, at = root, ""
     for key in known.path[1:]:
         inner = [c for c in node.children if c.key == key and not c.out]
         if len(inner) != 1:
             break
         node, at = inner[0], f"{at}/{key}"
-    blocks: list[tuple[str, str]] = []
+    blocks = []
     _texts(node, at, blocks)
     return blocks
 

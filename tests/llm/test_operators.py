@@ -347,6 +347,18 @@ def test_wrapper_rules_inside_an_article(spark):
     assert extracted(spark, ["<body><article><p>a</p><p>b</p></article><p>c</p></body>"] * 4) == ["a\nb"] * 4
 
 
+def test_several_main_elements(spark):
+    long = "many words of a long part " * 20
+    assert html.main_text(f"<body><article>{long}</article><article>short</article></body>") == f"{long.strip()}\nshort"
+    # short parts stay; a repeated group in which each has a linked line is of teasers
+    pages = [f"<body><article class='a'><p>{long}{i}</p></article><div><article class='a'><p>Short {i}</p></article></div></body>" for i in range(4)]
+    assert extracted(spark, pages) == [f"{long}{i}\nShort {i}" for i in range(4)]
+    parts = "<article class='part'><h2>Part A{0}</h2><p>Text {0}</p></article><article class='part'><h2>Part B{0}</h2><p>Text <a href=/x>{0}</a></p></article>"
+    cards = "<article class='card'><h2><a href='/n{0}'>Next {0}</a></h2><p>Long teaser {1} {0}</p></article>" * 3
+    pages = [f"<body><main><article class='lead'><p>Lead {i}</p></article>{parts.format(i)}<section class='more'>{cards.format(i, long)}</section></main></body>" for i in range(4)]
+    assert extracted(spark, pages) == [f"Lead {i}\nPart A{i}\nText {i}\nPart B{i}\nText {i}" for i in range(4)]
+
+
 # 9 mixing
 
 
