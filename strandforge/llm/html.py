@@ -9,7 +9,8 @@ wrappers of a host are folded; a host that has a third of all pages gives one
 partial wrapper a task.
 
 A page is then read again with its host's wrapper. Elements that are never part
-of an article by their name, role or class go. Of the rest, the wrapper's element
+of an article by their name, role or whole class name go, unless they hold the main
+element or most of the text in slots. Of the rest, the wrapper's element
 that holds most of the text in slots is the article. Elements that say that they are
 it (<article>, <main>, a class) are a hint: they bound the article where the wrapper
 has slot text in them, on the way to that element or below it, and are passed over
@@ -32,7 +33,7 @@ import json
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -55,13 +56,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 EXCLUDED = frozenset("head nav header footer aside form button dialog menu fieldset audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tablist".split())
-#: Words of a class or id.
+#: Whole names of a class or id, without regard to case and to - and _.
 WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adbox adslot banner sponsor sponsored sponsors promo promos promotion promotions "
     "menu menus submenu nav navbar navigation navigator breadcrumb breadcrumbs crumbs sidebar sidebars side aside widget widgets footer foot header masthead topbar toolbar "
     "cookie cookies consent gdpr privacy notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup signin login "
     "social share sharing shares sharebar related recommended recommendations trending outbrain taboola comment comments commentlist respond discussion disqus reply replies "
-    "pager pagination paging copyright disclaimer legal skip search searchbox form".split()
+    "pager pagination paging copyright disclaimer legal skip search searchbox form "
+    "adcontainer adwrapper adunit adbanner topnav mainnav sitenav subnav mainmenu topmenu navmenu leftsidebar rightsidebar sidebarleft sidebarright siteheader pageheader sitefooter pagefooter "
+    "cookienotice cookiebanner cookiebar cookieconsent consentbanner gdprbanner newslettersignup socialshare socialmedia socialicons sharebuttons sharebar sociallinks relatedposts relatedarticles relatedcontent "
+    "commentlist commentsection commentssection commentform commentsarea skiplink searchform".split()
 )
 COMMENT_WORDS = frozenset("comment comments reply replies teaser related promo ad advert sponsored".split())
 MAIN_WORDS = frozenset("article content post entry story articlebody postbody maincontent".split())
@@ -80,31 +84,33 @@ CLASS_WORD = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    """An element: key (tag and classes), whether it is out, main or a wrapper's optional or repeated part; texts between children are nodes with key #, linked if all of the text is a link to another page."""
+    """An element: key (tag and classes), whether it is out (1, or 2 if for good), main or a wrapper's optional or repeated part; texts between children are nodes with key #, linked if all of the text is a link to another page."""
 
     __slots__ = ("key", "tag", "out", "main", "children", "text", "linked")
 
-    def __init__(self, key: str, tag: str, out: bool = False, main: int = 0) -> None:
+    def __init__(self, key: str, tag: str, out: int = 0, main: int = 0) -> None:
         self.key, self.tag, self.out, self.main = key, tag, out, main
         self.children: list[Node] = []
         self.text, self.linked = "", False
 
 
-def _classify(tag: str, attributes: str) -> tuple[str, bool, int]:
-    """Key, whether the element is out, and how strongly it says that it is the article (0 to 3)."""
+def _classify(tag: str, attributes: str) -> tuple[str, int, int]:
+    """Key, whether the element is out (1, or 2 for a hidden one), and how strongly it says that it is the article (0 to 3)."""
     if not attributes.strip(" /\n\t"):
-        return tag, tag in EXCLUDED, 3 if tag == "article" else 2 if tag == "main" else 0
+        return tag, int(tag in EXCLUDED), 3 if tag == "article" else 2 if tag == "main" else 0
     found = {k.lower(): (v[1:-1] if v[:1] in "\"'" else v) for k, v in ATTRIBUTE.findall(attributes)}
     name, role = found.get("class", "") + " " + found.get("id", ""), found.get("role", "").lower()
     words = {w.lower() for w in CLASS_WORD.split(name) if w}
+    names = {w.lower().replace("-", "").replace("_", "") for w in name.split()}
     style = found.get("style", "").replace(" ", "").lower()
-    out = tag in EXCLUDED or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+    out = tag in EXCLUDED or role in ROLES
     if tag == "article":
-        out = out or bool(words & COMMENT_WORDS)
+        out = out or bool(names & COMMENT_WORDS)
     elif tag not in ("html", "body", "main"):
-        out = out or bool(words & WORDS)
+        out = out or bool(names & WORDS)
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
     main = 3 if tag == "article" or found.get("itemprop") == "articleBody" else 2 if tag == "main" or role == "main" else 1 if words & MAIN_WORDS else 0
-    return f"{tag}.{'.'.join(sorted(words))}" if words else tag, out, main
+    return f"{tag}.{'.'.join(sorted(words))}" if words else tag, 2 if hidden else int(out), main
 
 
 def parse(markup: str) -> Node:
@@ -167,6 +173,8 @@ def parse(markup: str) -> Node:
                     if stack[k].tag in SCOPE:
                         break
             key, out, main = _classify(tag, m["attr"])
+            if out and len(stack) >= DEPTH:
+                out = 2
             node = Node(key, tag, out, main)
             stack[-1].children.append(node)
             if len(stack) < DEPTH or out or any(x.out for x in stack[DEPTH - 1 :]):
@@ -175,18 +183,18 @@ def parse(markup: str) -> Node:
     return root
 
 
-# A wrapper's node: [key, pages, optional, repeated, text, chars, children, main]; text is a
+# A wrapper's node: [key, pages, optional, repeated, text, chars, children, main, out]; text is a
 # checksum while all pages agree on it and -1 for a slot; chars adds up slot text;
-# main is Node's, or for a text whether it is linked on all pages.
+# main and out are Node's, or main for a text whether it is linked on all pages.
 
 
 def wrapper_of(node: Node) -> list:
     """One page as a wrapper: equal neighbours folded into repeated groups."""
-    own = [node.key, 1, False, False, 0, 0, [], node.main]
+    own = [node.key, 1, False, False, 0, 0, [], node.main, node.out]
     for child in node.children:
-        if child.out:
+        if child.out == 2:
             continue
-        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), [], int(child.linked)] if child.key == "#" else wrapper_of(child)
+        made = ["#", 1, False, False, zlib.crc32(child.text.encode()), len(child.text), [], int(child.linked), 0] if child.key == "#" else wrapper_of(child)
         own[6].append(made)
     own[6] = fold(own[6])
     return own
@@ -201,18 +209,28 @@ def fold(children: list) -> list:
             if len(done) >= 2 * size and [c[0] for c in done[-size:]] == [c[0] for c in done[-2 * size : -size]]:
                 for a, b in zip(done[-2 * size : -size], done[-size:]):
                     a[5], a[3] = a[5] + b[5], True
-                    a[4] = a[4] if a[4] == b[4] else -1
-                    a[6] = align(a[6], b[6])
-                    a[2], a[7] = a[2] or b[2], _hint(a, b)
+                    a[4] = _joined(a[4], b[4])
+                    a[6] = align(a[6], b[6], _joined)
+                    a[2], a[7], a[8] = a[2] or b[2], _hint(a, b), max(a[8], b[8])
                 del done[-size:]
                 break
     return done
 
 
-def align(a: list, b: list) -> list:
+def _agreed(a: int, b: int) -> int:
+    """Texts of two pages."""
+    return a if a == b else -1
+
+
+def _joined(a: int, b: int) -> int:
+    """Texts of one page's group: those that differ are no slot yet, as other pages may have the same ones."""
+    return zlib.crc32(b"%d %d" % (a, b)) if a != b else a
+
+
+def align(a: list, b: list, texts: Callable[[int, int], int] = _agreed) -> list:
     """Two sequences of siblings as one: longest common subsequence of keys; the rest is optional."""
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [merge(x, y) for x, y in zip(a, b)]
+        return [merge(x, y, texts) for x, y in zip(a, b)]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -221,7 +239,7 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(merge(a[i], b[j]))
+            out.append(merge(a[i], b[j], texts))
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             a[i][2] = True
@@ -234,9 +252,9 @@ def align(a: list, b: list) -> list:
     return out
 
 
-def merge(a: list, b: list) -> list:
+def merge(a: list, b: list, texts: Callable[[int, int], int] = _agreed) -> list:
     """The wrapper that both a and b match; both have the same key."""
-    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else -1, a[5] + b[5], align(a[6], b[6]), _hint(a, b)]
+    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], texts(a[4], b[4]), a[5] + b[5], align(a[6], b[6], texts), _hint(a, b), max(a[8], b[8])]
 
 
 def _hint(a: list, b: list) -> int:
@@ -250,15 +268,69 @@ def expression(w: list) -> str:
     return own if not (w[2] or w[3]) else f"({own}){'*' if w[2] and w[3] else '?' if w[2] else '+'}"
 
 
-def _slots(w: list) -> int:
-    return w[5] if w[0] == "#" and (w[4] == -1) else sum(map(_slots, w[6]))
+def _slots(w: list, outs: bool = False) -> int:
+    """Characters in slots; with outs, also those of elements that are out."""
+    return w[5] if w[0] == "#" and (w[4] == -1) else sum(_slots(c, outs) for c in w[6] if outs or not c[8])
+
+
+def opened(w: list) -> set[str]:
+    """Paths of elements that are out by name, role or class but hold the article; they are let in, here and in w.
+
+    Such are those with most slot text of the host, and those that hold main
+    elements and no less slot text than all that is not out; none while main
+    elements that are not out bear slot text.
+    """
+    found: set[str] = set()
+    total = _slots(w, True)
+
+    def holds(c: list) -> bool:
+        return any(x[7] > 0 or holds(x) for x in c[6] if x[0] != "#")
+
+    def let_in(c: list, path: str) -> None:
+        for x in c[6]:
+            if x[0] != "#":
+                at = f"{path}/{x[0]}"
+                if x[8]:
+                    n = _slots(x, True)
+                    if 2 * n > total or n and (x[7] or holds(x)) and n >= rest:
+                        found.add(at)
+                        x[8] = 0
+                if not x[8]:
+                    let_in(x, at)
+
+    rest = _slots(w)
+    if total and not any(_marked(w, k) for k in (3, 2, 1)):
+        let_in(w, "")
+    return found
+
+
+def open_up(node: Node, paths: frozenset[str] | set[str], path: str = "") -> None:
+    """Lets in the elements at these paths."""
+    for c in node.children:
+        if c.key != "#":
+            at = f"{path}/{c.key}"
+            if c.out == 1 and at in paths:
+                c.out = 0
+            if not c.out:
+                open_up(c, paths, at)
+
+
+def open_mains(node: Node) -> bool:
+    """Lets in the elements that hold main elements which are not out themselves; whether there are any."""
+    any_main = False
+    for c in node.children:
+        if c.key != "#" and c.out < 2:
+            inside = open_mains(c)
+            if inside or c.main and not c.out:
+                any_main, c.out = True, 0
+    return any_main
 
 
 def content_path(w: list, most: float = 0.6) -> list[list]:
     """Wrapper's nodes from the root to the deepest element with most of the text in slots."""
     path, total = [w], _slots(w)
     while total:
-        inner = max((c for c in w[6] if c[0] != "#" and not c[3]), key=_slots, default=None)
+        inner = max((c for c in w[6] if c[0] != "#" and not c[3] and not c[8]), key=_slots, default=None)
         if inner is None or _slots(inner) < most * total:
             break
         path.append(inner)
@@ -268,7 +340,7 @@ def content_path(w: list, most: float = 0.6) -> list[list]:
 
 def _marked(w: list, level: int) -> bool:
     """Whether slot text stands in an element below w that is main to this level."""
-    return any(c[7] == level and _slots(c) > 0 or _marked(c, level) for c in w[6] if c[0] != "#")
+    return any(c[7] == level and _slots(c) > 0 or _marked(c, level) for c in w[6] if c[0] != "#" and not c[8])
 
 
 def _headed(w: list) -> bool:
@@ -281,7 +353,7 @@ def _teasers(w: list, level: int, path: str = "", repeated: bool = False) -> tup
     teasers: set[str] = set()
     others: set[str] = set()
     for c in w[6]:
-        if c[0] != "#":
+        if c[0] != "#" and not c[8]:
             at, again = f"{path}/{c[0]}", repeated or c[3]
             if c[7] == level:
                 (teasers if again and _headed(c) else others).add(at)
@@ -292,9 +364,10 @@ def _teasers(w: list, level: int, path: str = "", repeated: bool = False) -> tup
 
 
 class Known:
-    """What a host's wrapper says of its pages: the path of the article, the strongest level of main elements that it bears out, paths of teasers by level, and the template's texts."""
+    """What a host's wrapper says of its pages: the path of the article, the strongest level of main elements that it bears out, paths of teasers by level, of elements to let in, and the template's texts."""
 
     def __init__(self, w: list | None = None, template: frozenset[int] = frozenset()) -> None:
+        self.opened = opened(w) if w else set()
         nodes = content_path(w) if w else []
         self.path, self.template = [x[0] for x in nodes], template
         # without slots nothing is known against the hint
@@ -302,7 +375,8 @@ class Known:
         for k in (3, 2, 1) if w else ():
             teasers, others = _teasers(w, k)
             self.teasers[k] = frozenset(teasers - others if others else ())
-        if w and _slots(w):
+        self.slots = bool(w and _slots(w))
+        if self.slots:
             self.level = next((k for k in (3, 2, 1) if any(x[7] == k for x in nodes) or _marked(nodes[-1], k)), 0)
 
 
@@ -311,12 +385,13 @@ def identity(path: str, text: str) -> int:
     return int.from_bytes(blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _texts(node: Node, path: str, out: list[tuple[str, str]]) -> None:
+def _texts(node: Node, path: str, out: list[tuple[str, str]], least: int = 1) -> None:
+    """Path and text of each block below node that is not out from `least` on."""
     for c in node.children:
         if c.key == "#":
             out.append((path, c.text))
-        elif not c.out:
-            _texts(c, f"{path}/{c.key}", out)
+        elif c.out < least:
+            _texts(c, f"{path}/{c.key}", out, least)
 
 
 def _mains(node: Node, path: str, found: list[tuple[Node, str]], level: int) -> None:
@@ -328,11 +403,19 @@ def _mains(node: Node, path: str, found: list[tuple[Node, str]], level: int) ->
                 _mains(c, f"{path}/{c.key}", found, level)
 
 
+def _found(root: Node, level: int) -> list[tuple[Node, str]]:
+    found: list[tuple[Node, str]] = []
+    _mains(root, "", found, level)
+    return found
+
+
 def _blocks(root: Node, known: Known) -> list[tuple[str, str]]:
     """Path and text of the article's blocks, those of the template among them."""
+    open_up(root, known.opened)
+    if not known.slots and not any(_found(root, k) for k in (3, 2, 1)):
+        open_mains(root)
     for level in range(known.level, 0, -1):
-        found: list[tuple[Node, str]] = []
-        _mains(root, "", found, level)
+        found = _found(root, level)
         blocks: list[tuple[str, str]] = []
         left = [x for x in found if x[1] not in known.teasers.get(level, ())]
         for c, at in left or found:
@@ -375,7 +458,7 @@ def _partials(pages: DataFrame) -> DataFrame:
                 for host, markup in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                     if markup:
                         root, blocks = parse(markup), []
-                        _texts(root, "", blocks)
+                        _texts(root, "", blocks, 2)
                         counts.setdefault(host, Counter()).update({identity(p, t) for p, t in blocks})
                         _fold(found, host, 1, wrapper_of(root))
         for host in sorted(found):

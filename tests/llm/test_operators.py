@@ -359,6 +359,21 @@ def test_several_main_elements(spark):
     assert extracted(spark, pages) == [f"Lead {i}\nPart A{i}\nText {i}\nPart B{i}\nText {i}" for i in range(4)]
 
 
+def test_elements_around_an_article_stay(spark):
+    # names that hold a listed word, and elements that hold the article
+    for around in ("<div class='has-sidebar'>{}</div>", "<div id='page' class='layout no-sidebar'>{}</div>", "<form id='f'>{}</form>", "<div class='sidebar'><div class='form'>{}</div></div>"):
+        assert html.main_text(f"<body>{around.format('<article><p>text</p></article>')}<nav>no</nav></body>") == "text"
+        pages = [f"<body><nav>no</nav>{around.format(f'<article><p>text {i}</p></article>')}</body>" for i in range(4)]
+        assert extracted(spark, pages) == [f"text {i}" for i in range(4)]
+    assert html.main_text("<article><p>a</p><section class='side-by-side'>b</section><div class='legal-history'>c</div><div class='comments'>no</div><div hidden><article>no</article></div></article>") == "a\nb\nc"
+    # most slot text without any main element
+    pages = [f"<body><div class='widget'><h1>A long title {i}</h1><p>many words {i}</p></div><p>{i}</p><aside><p>{i}</p></aside></body>" for i in range(4)]
+    assert extracted(spark, pages) == [f"A long title {i}\nmany words {i}" for i in range(4)]
+    # another one's main elements do not open what is out
+    pages = [f"<body><article><p>text {i}</p></article><aside><article><p>long teaser, no {i}</p></article></aside></body>" for i in range(4)]
+    assert extracted(spark, pages) == [f"text {i}" for i in range(4)]
+
+
 # 9 mixing
 
 
