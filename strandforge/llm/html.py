@@ -47,6 +47,8 @@ from . import common
 RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|object|canvas|select|xmp|noembed|noframes"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    # svg and math may close themselves; a slash that ends a value without quotes belongs to the value
+    r"|<(?:svg|math)(?=[\s/])(?:[^>\"'=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]++))*/>"
     rf"|<(?P<raw>{RAW})(?=[\s/>])(?P<rawattr>[^>]*)>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|(?P<text>[^<]+|<)",

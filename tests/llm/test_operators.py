@@ -374,6 +374,13 @@ def test_elements_around_an_article_stay(spark):
     assert extracted(spark, pages) == [f"text {i}" for i in range(4)]
 
 
+def test_self_closed_raw_elements():
+    assert html.main_text('<p>one <svg class="i"/> two three') == "one two three"
+    assert html.main_text("<p>one <math/>two <svg title='a>b' />three <svg><path d='x'/>no</svg> four <SVG/>five") == "one two three four five"
+    assert html.main_text("<svg/><article><p>a<svg width=1/>no</svg>b</p></article>") == "ab"
+    assert html.main_text("<p>a</p><script src='x'/>no</script><p>b" + "<svg a=" * 2000).startswith("a\nb")
+
+
 # 9 mixing
 
 
