@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,25 +89,44 @@ def greedy_matches(old: DataFrame, new: DataFrame, keys: Iterable[str], distance
     """(new_id, old_id): each new interval, in order, takes the first old one not yet taken whose ends are nearer
     than `distance` and whose overlap exceeds `overlap` of the union.
 
-    old, new: id, keys, start, stop. Only candidates that already passed the
-    range join are matched one after another, one group of keys at a time.
+    old, new: id, keys, start, stop. Both sides of one group of keys go through memory as slim rows, and no
+    pairs are made: old intervals with equal ends wait as one, and new ones with equal ends look for theirs together.
     """
     keys = list(keys)
-    pairs = within_either(new, old, keys, distance)
-    inner = F.least("l_stop", "r_stop") - F.greatest("l_start", "r_start")
-    outer = F.greatest("l_stop", "r_stop") - F.least("l_start", "r_start")
-    pairs = pairs.where((F.abs(F.col("l_start") - F.col("r_start")) < distance) & (F.abs(F.col("l_stop") - F.col("r_stop")) < distance) & (inner > overlap * outer))
-
-    def match(group: pd.DataFrame) -> pd.DataFrame:
+    ends = ["start", "stop"]
+    new, old = (x.select("id", *keys, *ends).dropna(subset=[*keys, *ends]) for x in (new, old))
+
+    def match(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        mine, theirs = (x.sort_values([*ends, "id"], ignore_index=True) for x in (mine, theirs))
+        places = theirs.drop_duplicates(ends)
+        starts, stops = places["start"].to_numpy(), places["stop"].to_numpy()
+        at, until = places.index.to_list(), [*places.index[1:].to_list(), len(theirs)]
+        waiting, ids, names = np.ones(len(places), bool), theirs["id"].to_list(), mine["id"].to_list()
+        firsts = mine.drop_duplicates(ends)
         taken, out, done = set(), [], set()
-        for n, o in group.sort_values(["l_start", "l_stop", "l_id", "r_start", "r_stop", "r_id"])[["l_id", "r_id"]].itertuples(index=False):
-            if n not in done and o not in taken:
-                taken.add(o)
-                done.add(n)
-                out.append((n, o))
+        for low, high, start, stop in zip(firsts.index, [*firsts.index[1:], len(mine)], firsts["start"], firsts["stop"]):
+            a, b = np.searchsorted(starts, start - distance, "right"), np.searchsorted(starts, start + distance, "left")
+            inner = np.minimum(stops[a:b], stop) - np.maximum(starts[a:b], start)
+            outer = np.maximum(stops[a:b], stop) - np.minimum(starts[a:b], start)
+            found = iter((np.flatnonzero(waiting[a:b] & (np.abs(stops[a:b] - stop) < distance) & (inner > overlap * outer)) + a).tolist())
+            place = next(found, None)
+            for n in names[low:high]:
+                if place is None:
+                    break
+                if n in done:
+                    continue
+                while place is not None:
+                    while at[place] < until[place] and ids[at[place]] in taken:
+                        at[place] += 1
+                    if at[place] < until[place]:
+                        o = ids[at[place]]
+                        taken.add(o)
+                        done.add(n)
+                        out.append((n, o))
+                        break
+                    waiting[place] = False
+                    place = next(found, None)
         return pd.DataFrame(out, columns=["new_id", "old_id"])
 
     kinds = dict(new.dtypes)["id"], dict(old.dtypes)["id"]
-    return pairs.groupBy(*[f"l_{k}" for k in keys]).applyInPandas(match, f"new_id {kinds[0]}, old_id {kinds[1]}")
-
-
+    return new.groupBy(*keys).cogroup(old.groupBy(*keys)).applyInPandas(match, f"new_id {kinds[0]}, old_id {kinds[1]}")

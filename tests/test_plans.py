@@ -139,3 +139,41 @@ def test_streaming_windows(spark, small, tmp_path):
     query = counts.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert spark.sql("SELECT sum(n) FROM windows").first()[0] == spark.read.parquet(f"{small}/events.parquet").count()
+
+
+def brute_greedy(old, new, distance, overlap):
+    """old, new: (key, id, start, stop)."""
+    taken, out = set(), set()
+    for k, n, s, e in sorted(new, key=lambda r: (r[2], r[3], r[1])):
+        for k2, o, s2, e2 in sorted((r for r in old if r[0] == k and abs(r[2] - s) < distance), key=lambda r: (r[2], r[3], r[1])):
+            if o not in taken and abs(e - e2) < distance and min(e, e2) - max(s, s2) > overlap * (max(e, e2) - min(s, s2)):
+                taken.add(o)
+                out.add((n, o))
+                break
+    return out
+
+
+def test_greedy_matches_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    for width in (6, 400):
+        make = lambda p: [(rng.choice("ab"), f"{p}{i}", s := rng.randrange(width), s + rng.randrange(1, 40)) for i in range(150)]
+        old, new = make("o"), make("n")
+        frame = lambda rows: spark.createDataFrame([*rows, (None, "x", 1, 9), ("a", "y", None, 9), ("a", "z", 1, None)], "k string, id string, start long, stop long")
+        assert {(r.new_id, r.old_id) for r in ranges.greedy_matches(frame(old), frame(new), ["k"], 30, 0.5).collect()} == brute_greedy(old, new, 30, 0.5)
+
+
+def test_join_window_near_iter_takes_all_line_items(spark):
+    import datetime
+
+    import strandforge.queries as q
+
+    folder = "/root/testdata/sf0.001"
+    sides = {"F": [], "O": []}
+    for r in spark.read.parquet(f"{folder}/lineitem.parquet").collect():
+        d = (r.l_shipdate.date() - datetime.date(1970, 1, 1)).days
+        sides[r.l_linestatus].append((r.l_returnflag, f"{r.l_orderkey}-{r.l_linenumber}-{d}-{int(r.l_quantity)}", d, d + int(r.l_quantity)))
+    got = [(r.new_id, r.old_id) for r in q.QUERIES["join_window_near_iter"](spark, folder).collect()]
+    want = brute_greedy(sides["F"], sides["O"], 30, 0.5)
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
