@@ -13,20 +13,24 @@ def natural_key(name: Column) -> tuple[Column, Column]:
 
 def entropy(text: Column) -> Column:
     """Shannon entropy (bits) of the lower-case letters and digits; 0 without any."""
-    kept = F.regexp_replace(F.lower(text), "[^a-z0-9]", "")
-    n = F.length(kept).cast("double")
     alphabet = F.array(*[F.lit(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789"])
 
-    def part(c: Column) -> Column:
-        k = n - F.length(F.replace(kept, c, F.lit("")))
-        return F.when(k > 0, -(k / n) * F.log2(k / n)).otherwise(F.lit(0.0))
+    def of(kept: Column) -> Column:
+        n = F.length(kept).cast("double")
 
-    return F.when(n > 0, F.aggregate(F.transform(alphabet, part), F.lit(0.0), lambda a, x: a + x)).otherwise(F.lit(0.0))
+        def part(c: Column) -> Column:
+            k = n - F.length(F.replace(kept, c, F.lit("")))
+            return F.when(k > 0, -(k / n) * F.log2(k / n)).otherwise(F.lit(0.0))
+
+        return F.when(n > 0, F.aggregate(F.transform(alphabet, part), F.lit(0.0), lambda a, x: a + x)).otherwise(F.lit(0.0))
+
+    # the text is cleaned once, not for each letter, as a lambda's variable is
+    return F.get(F.transform(F.array(F.regexp_replace(F.lower(text), "[^a-z0-9]", "")), of), 0)
 
 
 def low_codes(text: Column) -> Column:
-    """An array that is larger for a text with lower character codes, for ties in max_by."""
-    return F.transform(F.split(text, ""), lambda c: -F.ascii(c))
+    """A text that is smaller for one with lower character codes, the longer first if one begins the other, for ties in min_by."""
+    return F.when(text == "", text).otherwise(F.concat(text, F.lit("\U0010ffff")))
 
 
 def strip_leading(text: Column, *names: Column) -> Column:

@@ -173,9 +173,13 @@ def rewrite_types(types: Column) -> Column:
 
 def best_descriptions(accessions: DataFrame, preference: list[str]) -> DataFrame:
     """urs_taxid, description: of the most preferred database, the most informative text (entropy, then low character codes)."""
-    preferred = R.pick_by_preference(accessions.where("description IS NOT NULL"), "urs_taxid", "database", preference)
-    score = F.struct(F.round(text.entropy(F.col("description")), 3), text.low_codes(F.col("description")))
-    return preferred.groupBy("urs_taxid").agg(F.max_by("description", score).alias("description"))
+    place = F.coalesce(F.array_position(F.array(*[F.lit(p) for p in preference]), F.col("database")), F.lit(0))
+    rows = accessions.where("description IS NOT NULL").select("urs_taxid", "description", F.when(place == 0, len(preference) + 1).otherwise(place).alias("_rank"))
+    # ranks are aggregated without the texts, which may be long
+    best = rows.groupBy(F.col("urs_taxid").alias("_of")).agg(F.min("_rank").alias("_best"))
+    preferred = rows.join(best, F.col("urs_taxid").eqNullSafe(F.col("_of")) & (F.col("_rank") == F.col("_best")))
+    score = F.struct(-F.round(text.entropy(F.col("description")), 3), text.low_codes(F.col("description")))
+    return preferred.groupBy("urs_taxid").agg(F.min_by("description", score).alias("description"))
 
 
 def summarised_names(names: Column, limit: int = 3) -> Column:

@@ -274,7 +274,7 @@ def _(t):
 
 @query("op_description")
 def _(t):
-    rows = t("documents").select(F.col("source").alias("urs_taxid"), F.col("lang").alias("database"), F.substring("text", 1, 40).alias("description"))
+    rows = t("documents").select(F.col("source").alias("urs_taxid"), F.col("lang").alias("database"), F.col("text").alias("description"))
     return precompute.best_descriptions(rows, ["de", "fr", "en"])
 
 

@@ -177,3 +177,31 @@ def test_join_window_near_iter_takes_all_line_items(spark):
     got = [(r.new_id, r.old_id) for r in q.QUERIES["join_window_near_iter"](spark, folder).collect()]
     want = brute_greedy(sides["F"], sides["O"], 30, 0.5)
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_op_description_takes_whole_texts(spark, tmp_path):
+    import math
+    import re
+    from collections import Counter
+
+    import strandforge.queries as q
+
+    def entropy(s):
+        kept = re.sub("[^a-z0-9]", "", s.lower())
+        return -sum(k / len(kept) * math.log2(k / len(kept)) for k in Counter(kept).values()) if kept else 0.0
+
+    def best(rows):
+        place = {"de": 1, "fr": 2, "en": 3}
+        found = {}
+        for source, lang, s in rows:
+            if s is not None:
+                score = (place.get(lang, 4), -round(entropy(s), 3), [ord(c) for c in s] + [0x110000] if s else [])
+                found[source] = min(found.get(source, (score, s)), (score, s))
+        return {k: v[1] for k, v in found.items()}
+
+    same = "equal for more than forty characters at first "
+    rows = [("a", "de", same + "aaaa"), ("a", "de", same + "xyz 0123456789"), ("a", "en", "better 0123456789 abcdefghijklmnopqrstuvwxyz"), ("b", "fr", same * 3 + "!b"), ("b", "fr", same * 3 + "!a"), ("b", "xx", None), ("c", "en", "ab"), ("c", "en", "ab..."), (None, None, "one"), ("d", "de", ""), ("d", "de", "?")]
+    spark.createDataFrame(rows, "source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for folder in (str(tmp_path), "/root/testdata/sf0.001"):
+        docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("source", "lang", "text").collect()]
+        assert {r.urs_taxid: r.description for r in q.QUERIES["op_description"](spark, folder).collect()} == best(docs)
