@@ -361,8 +361,10 @@ def _(t):
 @query("op_gene_communities")
 def _(t):
     hits = genes.classify(_features(t), _forest()).where("prediction = 1")
-    edges = hits.select(F.lit("g").alias("assembly_id"), F.lit("1").alias("chromosome"), F.col("idx_a").alias("a"), F.col("idx_b").alias("b"), F.col("probability").alias("weight"))
-    return genes.communities(edges.withColumn("chromosome", F.floor(F.col("a") / 5000).cast("string")), ["assembly_id", "chromosome"])
+    # both of a pair are on one chromosome
+    places = _transcripts(t).select(F.col("idx").alias("a"), "assembly_id", "chromosome")
+    edges = hits.select(F.col("idx_a").alias("a"), F.col("idx_b").alias("b"), F.col("probability").alias("weight")).join(places, "a")
+    return genes.communities(edges, ["assembly_id", "chromosome"])
 
 
 def _genes(t, modulus, shift):

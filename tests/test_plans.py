@@ -205,3 +205,23 @@ def test_op_description_takes_whole_texts(spark, tmp_path):
     for folder in (str(tmp_path), "/root/testdata/sf0.001"):
         docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("source", "lang", "text").collect()]
         assert {r.urs_taxid: r.description for r in q.QUERIES["op_description"](spark, folder).collect()} == best(docs)
+
+
+def test_op_gene_communities_do_not_depend_on_where_ids_lie(spark, tmp_path):
+    import random
+
+    import strandforge.queries as q
+
+    def found(first):
+        # a chain of orders; what the features read moves with the id by a multiple of 6
+        folder = f"{tmp_path}/{first}"
+        rng = random.Random(3)
+        lines = [(first + k, n, float(rng.randrange(1, 50))) for k in range(90) for n in rng.sample(range(1, 8), 3)]
+        spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{folder}/lineitem.parquet")
+        spark.createDataFrame([(r,) for r in range(5)], "r_regionkey int").write.parquet(f"{folder}/region.parquet")
+        rows = [(r.chromosome, r.member - first, r.community - first) for r in q.QUERIES["op_gene_communities"](spark, folder).collect()]
+        assert len({m for _, m, _ in rows}) == len(rows)  # each in one community
+        return sorted(rows)
+
+    far, border = found(96), found(96 + 6 * 810)  # the second from 4,956 to 5,045
+    assert far and far == border and {c for c, _, _ in border} == {"1"}
