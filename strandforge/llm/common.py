@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +53,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def lean() -> None:
+    """Let a Python worker give big arrays back to the system as soon as it drops them.
+
+    Workers serve many tasks, and several share an executor's memory.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    if hasattr(libc := ctypes.CDLL(None), "mallopt"):
+        libc.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD: larger blocks are mapped, each for itself
+
+
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """UTF-8 of a text column, null as empty."""
     for x in batch.column(column).cast(pa.large_binary()):
@@ -77,6 +90,7 @@ def with_results(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         f = compute()
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):

@@ -1,87 +1,76 @@
 """Similarity join on word n-grams: rare-first prefix filtering, verified once a pair.
 
 A document's set holds the 64-bit hashes of its distinct n-grams. Equal sets
-are one class with one key, so copies never meet each other. Sets are ordered
-rare first: by the n-gram's frequency class, from counters of all documents'
-n-grams (as many as the corpus needs, at most 2^24; the order changes speed and never
-the result), then by hash. Two sets with a Jaccard similarity of num / den share an
-n-gram in their prefixes in that order. Prefixes are dealt out by n-gram; pairs must
-pass the length filter there, then a filter on how many n-grams of their prefixes
-they share and the positional filter, a suffix filter before they are verified,
-and each distinct pair is verified once, with the whole sets.
-
-To keep large groups of near copies from making all pairs, it goes in two
-rounds. First each n-gram links its classes to centres (stars), those pairs are
-verified, and connected classes get a component. Then only pairs of different
-components are made and verified; so no link between components is lost, and
+are one class with one key, so copies never meet each other. Texts are read
+once: each task cuts its classes into chunks and deals their n-grams (GRAM_BITS of the hash,
+which is enough to tell them apart, and the class's number in the chunk) to buckets
+of n-grams. A bucket counts how many classes have each n-gram and sends only those
+of two or more classes back to the chunk. An n-gram of one class links nothing, but it has its place in
+the order: sets are ordered by this exact count, rare first, then by hash.
+
+Two sets of n and m members with a Jaccard similarity of num / den share
+`overlap` = ceil(num / (num + den) (n + m)) members or more. So, in the first
+n-gram that they have in common, both stand with `overlap` members left (prefix and positional
+filter, joined on that n-gram); their lengths are similar (length filter); and the
+members that differ, at least those that no other set has and the differences
+of how many each has in four ranges of the hash, are at most
+n + m - 2 overlap (suffix filter). All four are conditions of the join, so a
+pair that fails one is never made. The pairs that are left are verified once
+each, with all members that other sets have too.
+
+To keep large groups of near copies from making all pairs, it goes in rounds.
+Twice each n-gram's classes of similar lengths are paired with one of them, the
+one with the fewest members of its own (a star); connected classes get a component.
+Then only pairs of different components are made, for each n-gram those
+outside its largest component against all; so no link between components is lost, and
 pairs within a component, which cannot change it, are never made.
 
+N-grams that are very common in a bounded sample of documents (SAMPLE_ROWS)
+count as the most frequent of all without being counted and go to their chunk
+directly, so that no bucket gets a common passage of the whole corpus; this
+changes transport and speed and never the result, as the order is the same for all sets.
+
 Defined results: null texts and texts without words have the empty set, which
 is linked with nothing; texts with fewer words than an n-gram have one n-gram of all
 words; a null doc_id takes part, and its component is named by the smallest
 doc_id that is not null (null if there is none); rows alike are one class;
-an empty table gives an empty table; other columns are ignored.
+an empty table gives an empty table; other columns are ignored. A partition of
+the input that is read again must give the same rows in the same order, as a table in files
+does.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
+from .shingles import Shingles
 
 #: Words of an n-gram; similarity as num / den.
 WORDS, NUM, DEN = 5, 80, 100
-#: Words that a worker remembers; bytes of text for one counter; the least and most counters, as powers of 2.
-STORE, COUNTER_BYTES, COUNTERS = 400_000, 256, (16, 24)
-#: Counters of a slice; index entries of a chunk of pairs; partners of a centre that are verified together.
-SLICE, CHUNK, TOGETHER = 1 << 16, 1 << 20, 512
-#: Keys that are sent to all executors (two numbers each); more are joined by shuffling.
-BROADCAST_KEYS = 1_000_000
-#: Buckets of the index for each shuffle partition.
-SPREAD = 4
-_M = np.uint64(0x9E3779B97F4A7C15)
-INDEX = np.dtype([("gram", "<u8"), ("key", "<i8"), ("n", "<u4"), ("pos", "<u4")])
-
-
-class Shingles:
-    """Sorted hashes of the distinct n-grams of a text."""
-
-    def __init__(self, words: int) -> None:
-        self.words, self.known = words, {}
-
-    def __call__(self, raw: bytes) -> np.ndarray:
-        import xxhash
-
-        words, known = raw.lower().split(), self.known
-        if not words:
-            return np.zeros(0, np.uint64)
-        try:
-            ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(known) > STORE:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        k = min(self.words, len(words))
-        with np.errstate(over="ignore"):
-            h = np.full(len(ids) - k + 1, k, np.uint64)
-            for i in range(k):
-                h = (h * _M) ^ (h >> np.uint64(29))
-                h += ids[i : len(ids) - k + 1 + i]
-            h ^= h >> np.uint64(33)
-            h *= np.uint64(0xFF51AFD7ED558CCD)
-            h ^= h >> np.uint64(33)
-        return np.unique(h)
+#: Bits of a class's number in its chunk; the other bits of an entry are the n-gram's.
+CLASS_BITS = 13
+GRAM_BITS = 64 - CLASS_BITS
+#: Entries of a chunk (more for one text); bytes of text for a bucket of n-grams; keys that a task remembers to skip copies.
+CHUNK, BUCKET_BYTES, SEEN = 1 << 20, 16 << 20, 100_000
+#: Documents of the sample that finds very common n-grams, and the share of them that makes one.
+SAMPLE_ROWS, COMMON = 4_000, 0.01
+#: The class of frequency of a very common n-gram, the last one.
+LAST = np.uint16(65535)
+#: Ranges of the hash that the suffix filter compares, and bits of a range's count (a lower bound where it is full).
+RANGES, RANGE_BITS = 4, 16
+#: Partners of a centre that are verified together.
+TOGETHER = 512
 
 
 def key_of(grams: np.ndarray) -> int:
@@ -91,14 +80,8 @@ def key_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).astype(np.int64))
 
 
-def ordered(grams: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The set rare first: sortable numbers of 6 bits of frequency class and 58 of the hash."""
-    kind = classes[(grams & np.uint64(len(classes) - 1)).astype(np.int64)].astype(np.uint64)
-    return np.sort((kind << np.uint64(58)) | (grams >> np.uint64(6)))
-
-
 def need_of(n, num: int, den: int):
-    """The least overlap of a set of n with a longer or equal one: ceil(num / den * n)."""
+    """The least overlap of a set of n with any other: ceil(num / den * n)."""
     return -(-n * num // den)
 
 
@@ -107,18 +90,19 @@ def overlap_of(a, b, num: int, den: int):
     return -(-(a + b) * num // (num + den))
 
 
-def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
-    """den * |both| >= num * |either|; x and y sorted."""
-    if len(x) > len(y):
-        x, y = y, x
-    if len(x) * den < num * len(y):
+def linked(x: np.ndarray, y: np.ndarray, num: int, den: int, alone: tuple[int, int] = (0, 0)) -> bool:
+    """den * |both| >= num * |either|; x and y sorted. alone: members of each that are left out of x and y, as no other set has them."""
+    n, m = len(x) + alone[0], len(y) + alone[1]
+    if not n or not m or min(n, m) * den < num * max(n, m):
         return False
-    most = len(x) + len(y) - 2 * overlap_of(len(x), len(y), num, den)  # members that may differ
-    if _differ(x, y, 3) > most:  # the suffix filter
+    most = len(x) + len(y) - 2 * overlap_of(n, m, num, den)  # members of x and y that may differ
+    if most < 0 or _differ(x, y, 3) > most:  # the suffix filter
         return False
+    if len(x) > len(y):
+        x, y = y, x
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     both = int((y[at] == x).sum())
-    return den * both >= num * (len(x) + len(y) - both)
+    return den * both >= num * (n + m - both)
 
 
 def _differ(x: np.ndarray, y: np.ndarray, depth: int) -> int:
@@ -136,285 +120,284 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(at, common.SLICE)
 
 
-SETS = "doc_id {}, n long, key long, slice int, counts binary"
+#: Kinds of rows: a document; a chunk's n-grams in a bucket; a chunk's classes; a chunk's very common n-grams.
+DOC, GRAMS, CLASSES, VERY = range(4)
+
+
+def _read_schema(doc_id: T.DataType) -> T.StructType:
+    long, binary = T.LongType(), T.BinaryType()
+    kinds = {"kind": T.IntegerType(), "doc_id": doc_id, "n": long, "key": long, "bucket": T.IntegerType(), "chunk": long, "entries": binary, "counts": binary}
+    return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
 
+def _rows(arrow: pa.Schema, size: int, **columns) -> pa.RecordBatch:
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns and not isinstance(columns[f.name], pa.Array) else columns.get(f.name, pa.nulls(size, f.type)) for f in arrow]
+    return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-def read_sets(docs: DataFrame, words: int, counters: int) -> DataFrame:
-    """A row for each document (doc_id, n, key), and rows (slice, counts) that add up to the counters."""
+
+def read_sets(docs: DataFrame, words: int, buckets: int, very: np.ndarray) -> DataFrame:
+    """Rows of _read_schema: DOC (doc_id, n, key), CLASSES (keys and sizes of a chunk), GRAMS and VERY (its entries).
+
+    very: sorted n-grams that are very common. All rows have a bucket to be dealt by.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    doc = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", doc), T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    import xxhash
+
+    schema = _read_schema(docs.schema["doc_id"].dataType)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingles(words), np.zeros(counters, np.uint32)
+        common.lean()
+        shingles, part = Shingles(words), TaskContext.get().partitionId()
+        edges = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets) << np.uint64(32)
+        seen: set[int] = set()
+        keys: list[int] = []
+        sizes: list[int] = []
+        held: list[np.ndarray] = []
+        size = made = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal size, made
+            if not keys:
+                return
+            names = np.array([keys, sizes], "<i8").tobytes()
+            chunk = int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(names + f"{part} {made}".encode()))))
+            spread, made = (part + made) % buckets, made + 1
+            yield _rows(arrow, 1, kind=[CLASSES], bucket=[spread], chunk=[chunk], entries=[names])
+            entries = np.concatenate(held)
+            entries.sort()
+            if len(very):
+                gram = entries >> np.uint64(CLASS_BITS)
+                common_one = very[np.minimum(np.searchsorted(very, gram), len(very) - 1)] == gram
+                if common_one.any():
+                    yield _rows(arrow, 1, kind=[VERY], bucket=[spread], chunk=[chunk], entries=[entries[common_one].tobytes()])
+                    entries = entries[~common_one]
+            cuts = [0, *np.searchsorted(entries, edges).tolist(), len(entries)]
+            which = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
+            yield _rows(arrow, len(which), kind=[GRAMS] * len(which), bucket=which, chunk=[chunk] * len(which), entries=[entries[cuts[k] : cuts[k + 1]].tobytes() for k in which])
+            for x in (keys, sizes, held):
+                x.clear()
+            size = 0
+
         for b in _sliced(batches):
-            ns, keys = [], []
-            for raw in common.text_bytes(b):
-                grams = shingles(raw)
-                ns.append(len(grams))
-                keys.append(key_of(grams) if len(grams) else None)
-                counts[(grams & np.uint64(counters - 1)).astype(np.int64)] += 1  # hashes in one set that share a counter count once
-            none = pa.nulls(b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], schema=arrow)
-        for at in range(0, counters, SLICE):
-            part = counts[at : at + SLICE]
-            if part.any():
-                blob = zlib.compress(part.tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.nulls(1).cast(arrow.field("doc_id").type), pa.nulls(1).cast(pa.int64()), pa.nulls(1).cast(pa.int64()), pa.array([at // SLICE], pa.int32()), pa.array([blob], pa.binary())], schema=arrow)
+            ns, own = [], []
+            for grams in shingles.many(list(common.text_bytes(b))):
+                n = len(grams)
+                key = key_of(grams) if n else None
+                ns.append(n)
+                own.append(key)
+                if not n or key in seen:  # a copy; one that another task has, or that is forgotten here, only adds to counts
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(key)
+                held.append((grams >> np.uint64(CLASS_BITS) << np.uint64(CLASS_BITS)) | np.uint64(len(keys)))
+                keys.append(key)
+                sizes.append(n)
+                size += n
+                if size >= CHUNK or len(keys) == 1 << CLASS_BITS:
+                    yield from flush()
+            yield _rows(arrow, b.num_rows, kind=[DOC] * b.num_rows, doc_id=b.column("doc_id"), n=ns, key=own, bucket=[(part + i) % buckets for i in range(b.num_rows)])
+        yield from flush()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def frequency_classes(slices: DataFrame, counters: int) -> np.ndarray:
-    """One byte a counter: 0 for the rare ones, then a class for each doubling. At most 2^24 bytes reach the driver."""
+def _counted(blobs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a bucket that two or more classes have, sorted, and how many have them."""
+    grams = np.concatenate(blobs) >> np.uint64(CLASS_BITS)
+    grams.sort()
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(first, len(grams)))
+    many = counts > 1
+    return grams[first[many]], counts[many]
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, blob in zip(b.column("slice").to_pylist(), b.column("counts")):
-                one = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32).astype(np.int64)
-                total[k] = total[k] + one if k in total else one
-        keys = sorted(total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([zlib.compress(total[k].astype(np.uint32).tobytes(), 1) for k in keys], pa.binary())], names=["slice", "counts"])
-
-    summed = slices.repartition("slice").mapInArrow(add, "slice int, counts binary").collect()
-    counts = np.zeros(counters, np.int64)
-    for r in summed:
-        at = r["slice"] * SLICE
-        counts[at : at + SLICE] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
-    mean = counts.mean()
-    common_from = mean + 4 * np.sqrt(mean) + 4
-    return np.where(counts <= common_from, 0, np.minimum(63, 1 + np.log2(np.maximum(counts, 1) / common_from).astype(np.int64))).astype(np.uint8)
-
-
-def prefix_index(docs: DataFrame, words: int, num: int, den: int, classes, buckets: int) -> DataFrame:
-    """Prefixes, dealt by n-gram: (gram, key, n, pos) of n-grams that two or more classes have. classes: a broadcast array."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, table, seen, held, size = Shingles(words), classes.value, set(), [], 0
-
-        def flush() -> pa.RecordBatch:
-            rows = np.concatenate(held) if held else np.zeros(0, INDEX)
-            held.clear()
-            bucket = ((rows["gram"] * _M) >> np.uint64(40)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            rows, bucket = rows[order], bucket[order]
-            which, starts = np.unique(bucket, return_index=True)
-            ends = np.append(starts[1:], len(rows))
-            return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array([rows[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], names=["bucket", "blob"])
-
-        with np.errstate(over="ignore"):
-            for b in _sliced(batches):
-                for raw in common.text_bytes(b):
-                    grams = shingles(raw)
-                    n = len(grams)
-                    if not n:
-                        continue
-                    key = key_of(grams)
-                    if key in seen:  # a copy; what is forgotten here is dropped by the reducer
-                        continue
-                    if len(seen) > STORE:
-                        seen.clear()
-                    seen.add(key)
-                    rows = np.empty(n - need_of(n, num, den) + 1, INDEX)
-                    rows["gram"], rows["key"], rows["n"], rows["pos"] = ordered(grams, table)[: len(rows)], key, n, np.arange(len(rows))
-                    held.append(rows)
-                    size += len(rows)
-                if size > CHUNK:
-                    size = 0
-                    yield flush()
-            yield flush()
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[int, list] = {}
+
+def _add(by: dict[int, list[tuple[int, np.ndarray]]], b: pa.RecordBatch) -> None:
+    """Adds the GRAMS rows of b to their buckets, as (chunk, entries)."""
+    grams = b.filter(pc.equal(b.column("kind"), GRAMS))
+    for k, chunk, blob in zip(grams.column("bucket").to_pylist(), grams.column("chunk").to_pylist(), grams.column("entries")):
+        by.setdefault(k, []).append((chunk, np.frombuffer(blob.as_buffer(), "<u8")))
+
+
+def very_common(docs: DataFrame, words: int, rows: int, buckets: int) -> np.ndarray:
+    """N-grams that COMMON of a sample of about SAMPLE_ROWS documents have: at most the mean size of a set / COMMON."""
+    spark = docs.sparkSession
+    chance = min(1.0, SAMPLE_ROWS / max(1, rows))
+    least = max(16, COMMON * min(rows, SAMPLE_ROWS))
+    sample = docs.where(F.pmod(F.xxhash64(F.lit("n-grams"), "doc_id"), F.lit(1 << 20)) < int(chance * (1 << 20)))
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.lean()
+        by: dict[int, list[tuple[int, np.ndarray]]] = {}
         for b in batches:
-            for k, blob in zip(b.column("bucket").to_pylist(), b.column("blob")):
-                by.setdefault(k, []).append(np.frombuffer(blob.as_buffer(), INDEX))
-        for k in sorted(by):
-            rows = np.concatenate(by.pop(k))
-            rows = rows[np.lexsort((rows["key"], rows["gram"]))]
-            new = np.ones(len(rows), bool)
-            new[1:] = (rows["gram"][1:] != rows["gram"][:-1]) | (rows["key"][1:] != rows["key"][:-1])
-            rows = rows[new]
-            same = rows["gram"][1:] == rows["gram"][:-1]
-            shared = np.zeros(len(rows), bool)
-            shared[1:] |= same
-            shared[:-1] |= same
-            rows = rows[shared]
-            yield pa.RecordBatch.from_arrays([pa.array(rows["gram"].astype(np.int64)), pa.array(rows["key"]), pa.array(rows["n"].astype(np.int64)), pa.array(rows["pos"].astype(np.int64))], names=["gram", "key", "n", "pos"])
-
-    dealt = docs.select("text").mapInArrow(emit, "bucket int, blob binary").repartition(buckets // SPREAD, "bucket")
-    return dealt.mapInArrow(gather, "gram long, key long, n long, pos long")
-
-
-def _groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """The arrays of each n-gram of a partition sorted by n-gram; none is split."""
-    held: list[dict[str, np.ndarray]] = []
-    for b in batches:
-        got = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
-        if not len(got["gram"]):
-            continue
-        cut = np.flatnonzero(np.diff(got["gram"])) + 1
-        ends = [*cut.tolist(), len(got["gram"])]
-        start = 0
-        for end in ends:
-            part = {c: a[start:end] for c, a in got.items()}
-            if held and held[0]["gram"][0] != part["gram"][0]:
-                yield {c: np.concatenate([h[c] for h in held]) for c in columns}
-                held = []
-            held.append(part)
-            start = end
-    if held:
-        yield {c: np.concatenate([h[c] for h in held]) for c in columns}
-
-
-class _Pairs:
-    """Pairs of keys with what they share so far, added up in batches of bounded size."""
-
-    COLUMNS = ("a", "b", "na", "nb", "shared", "rest")
-
-    def __init__(self) -> None:
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
-
-    def add(self, g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> None:
-        """Members i and j of a group have its n-gram in common."""
-        if len(i):
-            swap = g["key"][i] > g["key"][j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            rest = np.minimum(g["n"][i] - g["pos"][i], g["n"][j] - g["pos"][j])
-            self.held.append((g["key"][i], g["key"][j], g["n"][i], g["n"][j], np.ones(len(i), np.int64), rest))
-            self.size += len(i)
-        if self.size > 2 * CHUNK:
-            self.squeeze()
-
-    def squeeze(self) -> None:
-        if self.held:
-            a, b, na, nb, shared, rest = (np.concatenate(c) for c in zip(*self.held))
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-            self.held = [(a[first], b[first], na[order][first], nb[order][first], np.add.reduceat(shared[order], first), np.maximum.reduceat(rest[order], first))]
-            self.size = len(first)
-
-    def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        if self.held and (last or self.size > CHUNK):
-            self.squeeze()
-            if last or self.size > CHUNK // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in self.held[0]], names=list(self.COLUMNS))
-                self.held, self.size = [], 0
-
-
-_PAIRS = ", ".join(f"{c} long" for c in _Pairs.COLUMNS)
-
-
-def candidates(pairs: DataFrame, num: int, den: int, part: int = 1) -> DataFrame:
-    """Pairs (a, b) that can be linked, from the partial rows of n-grams that they share.
-
-    Prefixes of n - ceil(t n) + 1 n-grams share at least `overlap - ceil(t n) + 1` of them
-    for the longer set of a linked pair (an n-gram that both sets have stands, in each, behind at most as many
-    others as the set may have alone). The positional filter asks that from their
-    first common n-gram on, both have enough members left. With part, a part of the count is enough.
-    """
-    ceil_div = lambda x, y: -F.floor(-x / y)
-    both = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared"), F.max("rest").alias("rest"))
-    overlap = ceil_div((F.col("na") + F.col("nb")) * num, num + den)
-    needed = F.greatest(F.lit(1), overlap - ceil_div(F.greatest("na", "nb") * num, den) + 1)
-    similar = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    return both.where(similar & (F.col("shared") * part >= needed) & (F.col("rest") >= overlap)).select("a", "b")
+            _add(by, b)
+        for blobs in by.values():
+            grams, counts = _counted([e for _, e in blobs])
+            yield pa.RecordBatch.from_arrays([pa.array(grams[counts >= least].astype(np.int64))], names=["gram"])
 
+    dealt = read_sets(sample, words, buckets, np.zeros(0, np.uint64)).where(F.col("kind") == GRAMS).repartition(buckets, "bucket")
+    found = spark.createDataFrame([], "gram long") if rows < least else dealt.mapInArrow(often, "gram long")
+    return np.sort(np.array([r[0] for r in found.collect()], np.uint64))
 
-def star_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) of each n-gram's classes with a centre of similar length.
 
-    Which n-grams have which centre is chance, so half of the needed count is enough here.
-    """
+def shared_grams(read: DataFrame, buckets: int) -> DataFrame:
+    """read's rows, of GRAMS only the entries that two or more classes have, with their classes of frequency in counts."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs()
-        for g in _groups(batches, ["gram", "key", "n", "pos"]):
-            order = np.lexsort((g["key"], g["n"]))
-            g = {c: a[order] for c, a in g.items()}
-            start, n = 0, g["n"]
-            while start < len(n) - 1:  # runs in which any two lengths are similar
-                end = int(np.searchsorted(n, n[start] * den // num, side="right"))
-                if end > start + 1:
-                    centre = start + int(np.argmin(g["key"][start:end]))
-                    others = np.delete(np.arange(start, end), centre - start)
-                    pairs.add(g, np.full(len(others), centre), others)
-                start = max(end, start + 1)
-            yield from pairs.batches()
-        yield from pairs.batches(last=True)
-
-    return candidates(index.mapInArrow(run, _PAIRS), num, den, 2)
-
-
-def cross_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) of classes in different components. index: gram, key, n, pos, comp."""
+    arrow = to_arrow_schema(read.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs()
-        for g in _groups(batches, ["gram", "key", "n", "pos", "comp"]):
-            if (g["comp"] == g["comp"][0]).all():
+        common.lean()
+        by: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for b in batches:
+            _add(by, b)
+            rest = b.filter(pc.not_equal(b.column("kind"), GRAMS))
+            yield pa.RecordBatch.from_arrays(rest.columns, schema=arrow)
+        for k in sorted(by):
+            blobs = by.pop(k)
+            grams, counts = _counted([e for _, e in blobs])
+            if not len(grams):
                 continue
-            order = np.lexsort((g["key"], g["n"]))
-            g = {c: a[order] for c, a in g.items()}
-            n = g["n"]
-            upto = np.searchsorted(n, n * den // num, side="right")
-            block = max(1, CHUNK // len(n))
-            for at in range(0, len(n), block):
-                rows = np.arange(at, min(len(n), at + block))
-                counts = np.maximum(0, upto[rows] - rows - 1)
-                i = np.repeat(rows, counts)
-                j = np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + i + 1
-                apart = g["comp"][i] != g["comp"][j]
-                pairs.add(g, i[apart], j[apart])
-                yield from pairs.batches()
-        yield from pairs.batches(last=True)
-
-    return candidates(index.mapInArrow(run, _PAIRS), num, den)
-
-
-def sets_of(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """(key, grams) of the classes in keys (key, doc_id: a document of each)."""
+            kinds = np.where(counts < 32768, counts, np.minimum(65534, 32768 + 256 * np.log2(np.maximum(counts, 1) / 32768.0))).astype("<u2")
+            out: dict[str, list] = {"chunk": [], "entries": [], "counts": []}
+            for chunk, entries in blobs:
+                own = entries >> np.uint64(CLASS_BITS)
+                at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+                hit = grams[at] == own
+                if hit.any():
+                    out["chunk"].append(chunk)
+                    out["entries"].append(entries[hit].tobytes())
+                    out["counts"].append(kinds[at[hit]].tobytes())
+            size = len(out["chunk"])
+            yield _rows(arrow, size, kind=[GRAMS] * size, **out)
+
+    return read.repartition(buckets, "bucket").mapInArrow(run, read.schema)
+
+
+#: A row of the index: an n-gram of a set's prefix; the set, its members, those of its own; where the n-gram stands; how many others the set has in each range.
+INDEX = ["gram", "key", "n", "own", "pos", "ranges"]
+_INDEX = "gram long, key long, n int, own int, pos int, ranges long"
+
+
+def prefixes(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """INDEX rows of all sets' prefixes, and a row (key, n, grams) for each set that has one: its members that others have too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
-        for b in _sliced(batches):
-            got = [shingles(x) for x in common.text_bytes(b)]
-            keys, blobs = [key_of(g) if len(g) else None for g in got], [g.tobytes() for g in got]
-            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["key", "grams"])
-            yield out.filter(pa.array([k == w for k, w in zip(keys, b.column("_key").to_pylist())]))
+        common.lean()
+        chunks: dict[int, dict[str, list]] = {}
+        for b in batches:
+            for kind, chunk, entries, counts in zip(b.column("kind").to_pylist(), b.column("chunk").to_pylist(), b.column("entries"), b.column("counts")):
+                own = chunks.setdefault(chunk, {"classes": [], "entries": [], "counts": []})
+                if kind == CLASSES:
+                    own["classes"].append(np.frombuffer(entries.as_buffer(), "<i8"))
+                    continue
+                own["entries"].append(np.frombuffer(entries.as_buffer(), "<u8"))
+                own["counts"].append(np.frombuffer(counts.as_buffer(), "<u2") if kind == GRAMS else np.full(len(own["entries"][-1]), LAST))
+        for name in sorted(chunks):
+            chunk = chunks.pop(name)
+            if len(chunk["classes"]) != 1:
+                raise RuntimeError("a partition of the documents changed when it was read again: write them to a table first")
+            if chunk["entries"]:
+                yield from one(*chunk["classes"][0].reshape(2, -1), np.concatenate(chunk["entries"]), np.concatenate(chunk["counts"]))
+
+    def one(keys, n, entries, counts) -> Iterator[pa.RecordBatch]:
+        whose, gram = (entries & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64), entries >> np.uint64(CLASS_BITS)
+        order = np.lexsort((gram, counts, whose))
+        whose, gram = whose[order], gram[order]
+        size = np.bincount(whose, minlength=len(keys))
+        start = np.cumsum(size) - size
+        own = n - size  # members that no other set has come first
+        pos = own[whose] + np.arange(len(whose)) - start[whose]
+        ranges = np.bincount(whose * RANGES + (gram >> np.uint64(GRAM_BITS - 2)).astype(np.int64), minlength=RANGES * len(keys)).reshape(-1, RANGES)
+        packed = (np.minimum(ranges, (1 << RANGE_BITS) - 1).astype(np.uint64) << (np.arange(RANGES, dtype=np.uint64) * np.uint64(RANGE_BITS))).sum(axis=1, dtype=np.uint64)
+        kept = pos <= (n - need_of(n, num, den))[whose]
+        at = whose[kept]
+        long, short = (lambda x: pa.array(x.astype(np.int64))), (lambda x: pa.array(x.astype(np.int32)))
+        if len(at):
+            columns = [long(gram[kept]), long(keys[at]), short(n[at]), short(own[at]), short(pos[kept]), long(packed[at])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(at), pa.binary())], names=[*INDEX, "grams"])
+        has = np.unique(at)
+        for some in np.array_split(has, -(-len(has) // common.SLICE)) if len(has) else []:
+            blobs = [np.sort(gram[start[k] : start[k] + size[k]]).tobytes() for k in some]
+            none = pa.nulls(len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, long(keys[some]), short(n[some]), short(own[some]), none.cast(pa.int32()), none, pa.array(blobs, pa.binary())], names=[*INDEX, "grams"])
+
+    dealt = shared.where(F.col("kind") != DOC).select("kind", "chunk", "entries", "counts").repartition("chunk")
+    return dealt.mapInArrow(run, f"{_INDEX}, grams binary")
+
+
+Side = Callable[[str], Column]
+
+
+def possible(x: Side, y: Side, num: int, den: int) -> Column:
+    """Whether two index rows of one n-gram can be a linked pair's first n-gram in common: length, positional and suffix filter."""
+    n, m = x("n").cast("long"), y("n").cast("long")
+    overlap = -F.floor(-(n + m) * num / (num + den))
+    part = lambda side, i: F.shiftrightunsigned(side("ranges"), RANGE_BITS * i).bitwiseAND((1 << RANGE_BITS) - 1)
+    differ = reduce(lambda a, b: a + b, (F.abs(part(x, i) - part(y, i)) for i in range(RANGES)), x("own") + y("own"))
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (F.least(n - x("pos"), m - y("pos")) >= overlap) & (differ <= n + m - 2 * overlap)
+
+
+def _pairs(joined: DataFrame, x: Side, y: Side) -> DataFrame:
+    return joined.select(F.least(x("key"), y("key")).alias("a"), F.greatest(x("key"), y("key")).alias("b")).distinct()
+
+
+def star_pairs(known: DataFrame, num: int, den: int, shift: float) -> DataFrame:
+    """Candidate pairs (a, b) of each n-gram's sets with one of their range of lengths, in another component.
+
+    known: INDEX and comp. Ranges are such that lengths in one are similar; shift moves their
+    borders. It is one aggregate and a join, so that a frequent n-gram's sets need not meet in a task.
+    """
+    ranged = known.withColumn("range", F.floor(F.log("n") / math.log(den / num) + shift))
+    least = F.min(F.struct("own", "key", "comp", "n", "pos", "ranges")).alias("centre")
+    centres = ranged.groupBy("gram", "range").agg(least, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    x, y = (lambda c: F.col(f"centre.{c}")), F.col
+    joined = ranged.join(centres, ["gram", "range"]).where((x("comp") != y("comp")) & possible(x, y, num, den))
+    return _pairs(joined, x, y)
+
 
-    wanted = keys.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    if keys.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    return docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_key", "text").mapInArrow(run, "key long, grams binary").dropDuplicates(["key"])
+def cross_pairs(known: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) of sets in different components. known: INDEX and comp.
+
+    Of the sets that have an n-gram, those outside their largest component are
+    joined with all; pairs that fail a filter are not made.
+    """
+    sizes = known.groupBy("gram", "comp").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("gram").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).where("comps > 1").select("gram", "main")
+    every = known.join(largest, "gram")
+    columns = [c for c in every.columns if c != "gram"]
+    left = every.where("comp <> main").select(F.col("gram").alias("x_gram"), *[F.col(c).alias(f"x_{c}") for c in columns])
+    right = every.select(F.col("gram").alias("y_gram"), *[F.col(c).alias(f"y_{c}") for c in columns])
+    x, y = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
+    once = (y("comp") == y("main")) | (x("key") < y("key"))
+    on = (x("gram") == y("gram")) & (x("comp") != y("comp")) & once & possible(x, y, num, den)
+    return _pairs(left.join(right, on), x, y)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that are linked. Each centre a meets TOGETHER of its partners or so at a time."""
+    """The pairs (a, b) that are linked. Each a meets TOGETHER of its partners or so at a time."""
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / TOGETHER).alias("_parts"))
     dealt = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("long"))
     need = dealt.select("a", "part", F.col("b").alias("key")).unionByName(dealt.select("a", "part", F.col("a").alias("key")).distinct())
     placed = need.join(sets, "key").repartition("a", "part").sortWithinPartitions("a", "part", F.col("key") != F.col("a"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, own, grams = None, None, None
+        common.lean()
+        centre, own, grams, alone = None, None, None, 0
         for b in batches:
             left, right = [], []
-            for a, part, key, blob in zip(*(b.column(c).to_pylist() for c in ("a", "part", "key", "grams"))):
-                these = np.frombuffer(blob, np.uint64)
+            for a, part, key, none, blob in zip(*(b.column(c).to_pylist() for c in ("a", "part", "key", "own", "grams"))):
+                these = np.frombuffer(blob, "<u8")
                 if key == a:
-                    centre, own, grams = a, part, these
-                elif (a, part) == (centre, own) and linked(grams, these, num, den):
+                    centre, own, grams, alone = a, part, these, none
+                elif (a, part) == (centre, own) and linked(grams, these, num, den, (alone, none)):
                     left.append(a)
                     right.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return placed.select("a", "part", "key", "grams").mapInArrow(run, "a long, b long")
+    return placed.select("a", "part", "key", "own", "grams").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -445,31 +428,28 @@ def similarity_join(docs: DataFrame, words: int = WORDS, num: int = NUM, den: in
     of stars. Pairs within a component of stars are not all listed.
     """
     spark = docs.sparkSession
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    counters = 1 << max(COUNTERS[0], min(COUNTERS[1], (size // COUNTER_BYTES).bit_length()))
-    read = common.staged(read_sets(docs, words, counters), "sets")
-    rows = read.where("slice IS NULL").select("doc_id", "n", "key")
-    classes = spark.sparkContext.broadcast(frequency_classes(read.where("slice IS NOT NULL").select("slice", "counts"), counters))
-    buckets = SPREAD * max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (64 << 20)))
-    index = common.staged(prefix_index(docs, words, num, den, classes, buckets), "prefixes")
-    one = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-
-    def links(pairs: DataFrame) -> DataFrame:
-        pairs = common.staged(pairs, "pairs")
-        nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        chosen = common.staged(one.join(nodes, "key", "left_semi"), "nodes")
-        sets = common.staged(sets_of(docs, chosen, words), "grams")
-        return common.staged(verified(pairs, sets, num, den), "links")
-
-    by_gram = lambda df: df.repartition("gram").sortWithinPartitions("gram")
-    first = links(star_pairs(by_gram(index), num, den))
-    comps = common.staged(components(first), "components")
-    known = index.join(comps, "key", "left").select("gram", "key", "n", "pos", F.coalesce("comp", "key").alias("comp"))
-    second = links(cross_pairs(by_gram(known), num, den).join(first, ["a", "b"], "left_anti"))
-    every = first.unionByName(second)
-    # stars are settled: what remains is to connect them
-    joined = comps.select(F.col("key").alias("a"), F.col("comp").alias("b")).unionByName(second)
-    return rows, every, common.staged(components(joined), "components")
+    size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["bytes"] // BUCKET_BYTES))
+    very = very_common(docs, words, size["rows"], buckets)
+    read = common.staged(shared_grams(read_sets(docs, words, buckets, very), buckets), "sets")
+    rows = read.where(F.col("kind") == DOC).select("doc_id", "n", "key")
+    made = common.staged(prefixes(read, num, den), "prefixes")
+    index = made.where("gram IS NOT NULL").select(*INDEX)
+    several = index.groupBy("gram").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("gram")
+    index = common.staged(index.join(several, "gram", "left_semi"), "index")
+    sets = made.where("grams IS NOT NULL").select("key", "own", "grams").join(index.select("key").distinct(), "key", "left_semi")
+    sets = common.staged(sets.dropDuplicates(["key"]), "members")
+    tried = links = comps = None
+    for shift in (0.0, 0.5, None):
+        known = index.withColumn("comp", F.col("key")) if comps is None else index.join(comps, "key", "left").select(*INDEX, F.coalesce("comp", "key").alias("comp"))
+        pairs = cross_pairs(known, num, den) if shift is None else star_pairs(known, num, den, shift)
+        pairs = common.staged(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = common.staged(verified(pairs, sets, num, den), "links")
+        tried, links = (pairs, found) if tried is None else (tried.unionByName(pairs), links.unionByName(found))
+        if comps is None or not found.isEmpty():
+            settled = [] if comps is None else [comps.select(F.col("key").alias("a"), F.col("comp").alias("b"))]
+            comps = common.staged(components(reduce(DataFrame.unionByName, settled, found)), "components")
+    return rows, links, comps
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:

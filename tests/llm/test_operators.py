@@ -157,6 +157,39 @@ def test_jaccard_odd(spark, odd, empty):
     assert Counter(kept) == Counter([1, 3, 4, 5, 6, None, 7, 8, 9])
 
 
+def test_shingles_agree_with_sets_of_words(monkeypatch):
+    from strandforge.llm import shingles
+
+    texts = [(t or "").encode() for _, t in documents("/root/testdata/sf0.001")]
+    texts += [b"", b" \t ", b"one", b"a b c", "ÉÉ Z\x85b\u3000c D".encode(), b"q r s t u " * 900, b"ab c " * 500 + b"x" * 9000 + b" yy  zz " + b"x" * 9000]
+    whole = {k: list(shingles.Shingles(k).many(texts)) for k in (4, 5)}
+    for k, sets in whole.items():
+        for raw, got in zip(texts, sets):
+            words = re.findall(rb"[^\x20\x09-\x0D]+", raw.lower())
+            n = min(k, len(words))
+            assert len(got) == (len({tuple(words[i : i + n]) for i in range(len(words) - n + 1)}) if n else 0)
+    monkeypatch.setattr(shingles, "BLOCK", 1 << 12)  # a hash doesn't depend on how texts are cut
+    for k, sets in whole.items():
+        assert all((a == b).all() for a, b in zip(shingles.Shingles(k).many(texts), sets))
+        assert all((shingles.Shingles(k)(t) == b).all() for t, b in zip(texts, sets))
+
+
+def test_jaccard_of_a_large_group_of_near_copies(spark):
+    """Members that no star links, in several chunks, beside a passage that all documents share."""
+    rng = np.random.default_rng(5)
+    base, rows = [f"w{i}" for i in range(90)], []
+    for d in range(160):
+        words = list(base)
+        for i in rng.choice(90, rng.integers(0, 7), replace=False):
+            words[i] = f"x{rng.integers(0, 40)}"
+        rows.append((d, " ".join(words)))
+    rows += [(1000 + d, " ".join([f"y{d}_{i}" for i in range(60)] + base[:50])) for d in range(40)]
+    rows += [(2000 + d, rows[d % 7][1]) for d in range(60)]
+    got = jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85, 100).collect()
+    assert Counter(map(tuple, got)) == brute_groups(rows, 4, 85, 100)
+    assert len({r.component_id for r in got}) > 45
+
+
 def test_suffix_filter_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for _ in range(200):
