@@ -1,10 +1,14 @@
 """Quality rules with verdicts on hosts.
 
 Document rules are counted on every whole text. A host is the web host or, for
-tables of documents, their source. For each host the share of documents that
-fail the rules is shrunk towards the corpus by a beta prior whose two
-parameters are fitted to all hosts (method of moments); a host whose shrunk
-rate reaches `host_limit` is rejected as a whole.
+tables of documents, their source. For each rule and host the share of documents that
+fail it is shrunk towards the corpus by a beta prior whose two
+parameters are fitted to all hosts (method of moments). Failures of the base
+rules reject a document anywhere; a host whose shrunk rate of them reaches
+HOST_LIMIT is rejected as a whole. Failures of the other rules (many symbols, many repeated
+lines) are a reason only where they are usual: a host whose shrunk rate of such a rule
+lies more than HOST_MARGIN standard deviations of the prior above its mean is held to it, and its
+documents that fail the rule are rejected; others of that host stay.
 
 Defined results: a null or empty text has no words and fails; a null host is a
 host of its own; repeated rows count each time; an empty table gives an empty
@@ -15,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +30,8 @@ MIN_WORDS = 50
 MAX_REPEAT = 50
 #: A host whose shrunk failure rate is as high is rejected.
 HOST_LIMIT = 0.9
+#: A host is held to a rule from so many standard deviations of the prior above its mean.
+HOST_MARGIN = 0.5
 #: Strength of the prior where the hosts' rates do not vary more than chance.
 FLAT_PRIOR = 1000.0
 
@@ -68,8 +74,9 @@ def count_rules(raw: bytes) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), dup, repeat_words(words)
 
 
-def rule_counts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The input's columns (or `keep`) and COUNTS of the whole text, without a shuffle."""
+def rule_counts(docs: DataFrame, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """The input's columns (or `keep`) and COUNTS of the whole text, named with the prefix, without a shuffle."""
+    schema = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in COUNTS])
 
     def compute():
         def f(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -78,52 +85,74 @@ def rule_counts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
         return f
 
-    return common.with_results(docs, COUNTS, compute, keep)
+    return common.with_results(docs, schema, compute, keep)
 
 
-def base_failed():
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
+def base_failed(prefix: str = "") -> Column:
+    n = F.col(f"{prefix}n_words")
+    return (n < MIN_WORDS) | (100 * F.col(f"{prefix}n_repeat_words") > MAX_REPEAT * n)
 
 
-def host_verdicts(counted: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
-    """One row a host: host, n_docs, n_failed, host_rate (shrunk), host_bad.
+def host_rules(prefix: str = "") -> dict[str, Column]:
+    """Rules that count only for the documents of a host which is held to them: a symbol for 10 words, a repeated line for 20."""
+    n = F.col(f"{prefix}n_words")
+    return {"symbols": 10 * F.col(f"{prefix}n_symbols") > n, "lines": 20 * F.col(f"{prefix}n_dup_lines") > n}
 
-    Mean m and variance v of the hosts' raw rates give the beta prior of
-    strength s = m (1 - m) / v - 1 (FLAT_PRIOR where v is 0 or s above it); the
-    shrunk rate is (n_failed + s m) / (n_docs + s).
+
+def beta_prior(hosts: int, first: int | None, second: object) -> tuple[float, float]:
+    """Mean and strength of the prior from the sums of the hosts' rates and of their squares (rates in 1e-9).
+
+    Mean m and variance v give the strength m (1 - m) / v - 1 (FLAT_PRIOR where v is 0 or it is above that).
+    """
+    mean = (first or 0) / max(1, hosts) / 1e9
+    var = float(second or 0) / max(1, hosts) / 1e18 - mean * mean
+    return mean, max(0.0, min(FLAT_PRIOR, mean * (1 - mean) / var - 1)) if var > 1e-12 else FLAT_PRIOR
+
+
+def host_verdicts(counted: DataFrame, host: str, limit: float = HOST_LIMIT, margin: float = HOST_MARGIN, prefix: str = "") -> DataFrame:
+    """One row a host: host, n_docs, n_failed, host_rate (shrunk), host_bad, and held_<rule> for each of host_rules.
+
+    The shrunk rate is (failed + strength * mean) / (n_docs + strength).
     """
-    rates = counted.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n_docs"), F.sum(base_failed().cast("long")).alias("n_failed"))
-    rates = common.staged(rates, "host-rates")
-    # sums of integers and of rates rounded to 1e-12, so that any order of adding gives the same
-    rate = F.floor(F.col("n_failed") / F.col("n_docs") * 10**9).cast("long")
-    m = rates.agg(F.count("*").alias("h"), F.sum(rate).alias("s1"), F.sum((rate * rate).cast("decimal(38,0)")).alias("s2")).first()
-    if not m["h"]:
-        return rates.select("host", "n_docs", "n_failed", F.lit(0.0).alias("host_rate"), F.lit(False).alias("host_bad"))
-    mean = m["s1"] / m["h"] / 1e9
-    var = float(m["s2"]) / m["h"] / 1e18 - mean * mean
-    strength = max(0.0, min(FLAT_PRIOR, mean * (1 - mean) / var - 1)) if var > 1e-12 else FLAT_PRIOR
-    shrunk = (F.col("n_failed") + F.lit(strength * mean)) / (F.col("n_docs") + F.lit(strength))
-    return rates.select("host", "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk >= limit).alias("host_bad"))
+    rules = {"base": base_failed(prefix), **host_rules(prefix)}
+    failed = [F.sum(F.coalesce(rule, F.lit(False)).cast("long")).alias(f"failed_{r}") for r, rule in rules.items()]
+    rates = common.staged(counted.groupBy(F.col(f"`{host}`").alias("host")).agg(F.count("*").alias("n_docs"), *failed), "host-rates")
+    # sums of integers, so that any order of adding gives the same
+    rate = {r: F.floor(F.col(f"failed_{r}") / F.col("n_docs") * 10**9).cast("long") for r in rules}
+    sums = [x for r, e in rate.items() for x in (F.sum(e).alias(f"s1_{r}"), F.sum((e * e).cast("decimal(38,0)")).alias(f"s2_{r}"))]
+    m = rates.agg(F.count("*").alias("h"), *sums).first()
+    prior = {r: beta_prior(m["h"], m[f"s1_{r}"], m[f"s2_{r}"]) for r in rules}
+    shrunk = {r: (F.col(f"failed_{r}") + F.lit(strength * mean)) / (F.col("n_docs") + F.lit(strength)) for r, (mean, strength) in prior.items()}
+    above = {r: mean + margin * float(np.sqrt(mean * (1 - mean) / (strength + 1))) for r, (mean, strength) in prior.items()}
+    held = [(shrunk[r] > above[r]).alias(f"held_{r}") for r in rules if r != "base"]
+    return rates.select("host", "n_docs", F.col("failed_base").alias("n_failed"), shrunk["base"].alias("host_rate"), (shrunk["base"] >= limit).alias("host_bad"), *held)
+
+
+def with_verdicts(counted: DataFrame, verdicts: DataFrame, host: str, prefix: str = "") -> DataFrame:
+    """counted with _rate (its host's) and _kept. The table of hosts is joined without a hint: Spark broadcasts it
+    only under its size limit and otherwise splits hot hosts."""
+    mine = verdicts.select(*[F.col(c).alias(f"_v_{c}") for c in verdicts.columns])
+    joined = counted.join(mine, F.col(f"`{host}`").eqNullSafe(F.col("_v_host")), "left")
+    out = base_failed(prefix) | F.coalesce(F.col("_v_host_bad"), F.lit(False))
+    for r, rule in host_rules(prefix).items():
+        out = out | (F.coalesce(F.col(f"_v_held_{r}"), F.lit(False)) & rule)
+    return joined.withColumn("_rate", F.col("_v_host_rate")).withColumn("_kept", ~out)
 
 
 def quality_rules(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT, keep: list[str] | None = None) -> DataFrame:
     """keep's columns (default: all but the text), COUNTS, base_failed, host_rate and kept.
 
     The counts are written once to the shared folder and used both for the
-    hosts' rates and for the verdicts, so each text is read once. The table of
-    hosts is joined without a hint: Spark broadcasts it only under its size
-    limit and otherwise splits hot hosts.
+    hosts' rates and for the verdicts, so each text is read once.
     """
     keep = [c for c in docs.columns if c != "text"] if keep is None else keep
     counted = common.staged(rule_counts(docs, keep), "rule-counts")
-    verdicts = host_verdicts(counted, host, limit).select(F.col("host").alias("_host"), F.col("host_rate").alias("_rate"), F.col("host_bad").alias("_bad"))
-    joined = counted.join(verdicts, counted[host].eqNullSafe(F.col("_host")), "left")
-    failed = base_failed()
+    joined = with_verdicts(counted, host_verdicts(counted, host, limit), host)
     return joined.select(
         *[F.col(f"`{c}`") for c in counted.columns if c not in ("base_failed", "host_rate", "kept")],
-        failed.alias("base_failed"),
+        base_failed().alias("base_failed"),
         F.col("_rate").alias("host_rate"),
-        (~failed & ~F.coalesce(F.col("_bad"), F.lit(False))).alias("kept"),
+        F.col("_kept").alias("kept"),
     )
 
 
@@ -133,20 +162,9 @@ def drop_failing(docs: DataFrame, host: str = "source", limit: float = HOST_LIMI
     The rules are counted twice (for the hosts, then for the verdicts) instead
     of writing all texts once more.
     """
-    bad = host_verdicts(rule_counts(docs, [host]), host, limit).where("host_bad").select(F.col("host").alias("_host"))
-
-    def compute():
-        def f(batch: pa.RecordBatch) -> list[pa.Array]:
-            mask = []
-            for x in common.text_bytes(batch):
-                n, _, _, _, r = count_rules(x)
-                mask.append(n >= MIN_WORDS and 100 * r <= MAX_REPEAT * n)
-            return [pa.array(mask, pa.bool_())]
-
-        return f
-
-    good = common.with_results(docs, T.StructType([]), compute, row_filter=True)
-    return good.join(bad, good[host].eqNullSafe(F.col("_host")), "left_anti")
+    verdicts = host_verdicts(rule_counts(docs, [host], "_q_"), host, limit, prefix="_q_")
+    judged = with_verdicts(rule_counts(docs, None, "_q_"), verdicts, host, "_q_")
+    return judged.where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,13 +199,21 @@ m AS (
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
 f AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM m),
-h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS bad FROM f GROUP BY source),
+x AS (SELECT *, 10 * n_symbols > n_words AS many_symbols, 20 * n_dup_lines > n_words AS many_lines FROM f),
+h AS (
+  SELECT source, count(*) AS n, sum(base_failed::INT) AS bad, sum(many_symbols::INT) AS symbols, sum(many_lines::INT) AS lines
+  FROM x GROUP BY source),
+k AS (UNPIVOT h ON bad, symbols, lines INTO NAME rule VALUE failed),
 p AS (
-  SELECT avg(floor(bad / n * 1e9)) / 1e9 AS mean,
-         avg(floor(bad / n * 1e9) ^ 2) / 1e18 - (avg(floor(bad / n * 1e9)) / 1e9) ^ 2 AS var FROM h),
-s AS (SELECT mean, CASE WHEN var > 1e-12 THEN greatest(0, least(1000, mean * (1 - mean) / var - 1)) ELSE 1000 END AS strength FROM p),
-v AS (SELECT source, (bad + strength * mean) / (n + strength) >= 0.9 AS host_bad FROM h, s)
+  SELECT rule, avg(floor(failed / n * 1e9)) / 1e9 AS mean,
+         avg(floor(failed / n * 1e9) ^ 2) / 1e18 - (avg(floor(failed / n * 1e9)) / 1e9) ^ 2 AS var FROM k GROUP BY rule),
+s AS (SELECT rule, mean, CASE WHEN var > 1e-12 THEN greatest(0, least(1000, mean * (1 - mean) / var - 1)) ELSE 1000 END AS strength FROM p),
+v AS (
+  SELECT source, coalesce(bool_or(rule = 'bad' AND (failed + strength * mean) / (n + strength) >= 0.9), false) AS host_bad,
+         bool_or(rule = 'symbols' AND (failed + strength * mean) / (n + strength) > mean + 0.5 * sqrt(mean * (1 - mean) / (strength + 1))) AS held_symbols,
+         bool_or(rule = 'lines' AND (failed + strength * mean) / (n + strength) > mean + 0.5 * sqrt(mean * (1 - mean) / (strength + 1))) AS held_lines
+  FROM k JOIN s USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT host_bad AS kept
-FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
+       NOT base_failed AND NOT host_bad AND NOT (held_symbols AND many_symbols) AND NOT (held_lines AND many_lines) AS kept
+FROM x JOIN v ON x.source IS NOT DISTINCT FROM v.source
 """

@@ -223,11 +223,15 @@ def test_chunks_agree_with_the_whole():
             assert model.count_in_chunks(t, size, overlap) == len(model.model.encode(t))
 
 
-def test_word_ids_agree_with_the_library():
-    w = tokens.WordIds(WORDS)
-    texts = [t or "" for _, t in documents("/root/testdata/sf0.001")] + ["<|endoftext|> it's we'LL éÀ İx ß\x85b　d 1½ª ''s", "", " "]
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_word_ids_agree_with_the_library(name):
+    w = tokens.WordIds(public_tokenizers.path(name), store=2000)  # small, so that words are forgotten and come back
+    assert w.divides == (name == "word_bpe_49k.json")
+    texts = [t or "" for _, t in documents("/root/testdata/sf0.001")]
+    texts += ["<|endoftext|> it's we'LL éÀ İx ß\x85b　d 1½ª ''s", "", " ", "a\x1cb \x0b c\x0c'S'", "plain <|endoftext|> plain", "x<|endoftext|>y <|startoftext|", "Σας e\u0301 ÷×", "'sa 'd1'll"]
     want = [np.array(e.ids, "<u4").tobytes() for e in w.model.encode_batch(texts, add_special_tokens=False)]
     assert [w.encode(t) for t in texts] == want
+    assert w.encode_many(texts) == want
 
 
 # 5 media
@@ -465,10 +469,29 @@ def brute_quality(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
+def brute_kept(rows):
+    """rows: (doc_id, source, text). The ids that stay, by the definition of host verdicts."""
+    counted = [(d, s, brute_quality(t or "")) for d, s, t in rows]
+    rules = {"base": lambda q: q[0] < 50 or 2 * q[4] > q[0], "symbols": lambda q: 10 * q[2] > q[0], "lines": lambda q: 20 * q[3] > q[0]}
+    hosts = sorted({s for _, s, _ in counted}, key=str)
+    bad = {}
+    for name, rule in rules.items():
+        n = {h: sum(s == h for _, s, _ in counted) for h in hosts}
+        k = {h: sum(s == h and rule(q) for _, s, q in counted) for h in hosts}
+        rates = [k[h] / n[h] for h in hosts]
+        mean, var = float(np.mean(rates)), float(np.var(rates))
+        strength = max(0.0, min(1000.0, mean * (1 - mean) / var - 1)) if var > 1e-12 else 1000.0
+        limit = 0.9 if name == "base" else mean + 0.5 * (mean * (1 - mean) / (strength + 1)) ** 0.5 + 1e-9
+        bad[name] = {h for h in hosts if (k[h] + strength * mean) / (n[h] + strength) >= limit}
+    return [d for d, s, q in counted if not rules["base"](q) and s not in bad["base"] and not any(s in bad[r] and rules[r](q) for r in ("symbols", "lines"))]
+
+
 def test_quality(spark, small, odd, empty):
     for df in (spark.read.parquet(f"{small}/documents.parquet"), odd):
         want = Counter((r.doc_id, *brute_quality(r.text or "")) for r in df.collect())
         rows = quality.quality_rules(df).collect()
+        kept = Counter(brute_kept([(r.doc_id, r.source, r.text) for r in df.collect()]))
+        assert Counter(r.doc_id for r in rows if r.kept) == kept == Counter(r.doc_id for r in quality.drop_failing(df).collect())
         assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows) == want
         assert all(not (r.base_failed and r.kept) and r.base_failed == (r.n_words < 50 or 2 * r.n_repeat_words > r.n_words) for r in rows)
     assert quality.quality_rules(empty).count() == 0 and quality.drop_failing(empty).count() == 0
@@ -483,9 +506,33 @@ def test_bad_hosts_go(spark):
     assert kept == set(range(200, 240)) == {r.doc_id for r in quality.drop_failing(df, limit=0.8).collect()}
 
 
+def test_hosts_are_held_to_rules_that_they_fail_often(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    marked = words + " #" * 20
+    rows = [(i, marked if i < 20 else f"{words} {i}", "often") for i in range(40)]
+    rows += [(100 + i, marked if i == 0 else f"{words} {i}", f"h{i % 8}") for i in range(320)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id for r in quality.quality_rules(df).collect() if r.kept}
+    assert kept == {r[0] for r in rows} - set(range(20)) == set(brute_kept([(d, s, t) for d, t, s in rows]))
+
+
 # the pipeline
 
 
+@pytest.mark.parametrize("k", range(5))
+def test_pipeline_stages_on_odd_and_empty_tables(spark, small, odd, empty, k):
+    import corpus_pipeline
+
+    stage = corpus_pipeline.STAGES[k][1]
+    assert stage(spark, empty, small).count() == 0
+    out = stage(spark, odd, small)
+    rows = out.collect()
+    if k < 4:
+        assert out.columns == odd.columns and {r.doc_id for r in rows} <= {r.doc_id for r in odd.collect()}
+    else:
+        assert {r.doc_id for r in rows} == {r.doc_id for r in odd.collect()}
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
@@ -495,8 +542,7 @@ def test_pipeline(spark, small):
         out = common.staged(stage(spark, docs, small), name)
         assert out.columns == columns
         if name == "quality_rules":
-            want = {r.doc_id for r in docs.collect() if (q := brute_quality(r.text or ""))[0] >= 50 and 2 * q[4] <= q[0]}
-            assert {r.doc_id for r in out.collect()} == want
+            assert sorted(r.doc_id for r in out.collect()) == sorted(brute_kept([(r.doc_id, r.source, r.text) for r in docs.collect()]))
         if name == "ngram_jaccard":
             groups = brute_groups([(r.doc_id, r.text) for r in docs.collect()], 5, 80, 100)
             assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, _, c in groups if d == c)
