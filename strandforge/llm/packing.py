@@ -38,7 +38,7 @@ TIERS = (512, 1024, 2048, 4096)
 CLOSING_ID = 2
 #: Tokens of a block, of a step group; tasks whose leftovers are packed together.
 BLOCK, STEP_TOKENS, GROUP = 1 << 20, 1 << 16, 64
-WIDTH = 4  # bytes of an id
+WIDTH = tokens.WIDTH
 
 
 class Packer:
@@ -168,10 +168,12 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, closi
         for whole in batches:
             for at in range(0, whole.num_rows, common.SLICE):
                 batch = whole.slice(at, common.SLICE)
-                for doc_id, raw in zip(batch.column("doc_id").to_pylist(), common.text_bytes(batch)):
-                    packer.add(doc_id, model.encode(raw.decode("utf-8", "replace")) + closing)
+                texts = [raw.decode("utf-8", "replace") for raw in common.text_bytes(batch)]
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), model.encode_many(texts)):
+                    packer.add(doc_id, ids + closing)
                 if packer.ready:
                     yield _batch(rows(), arrow)
+        model.forget()
         packer.pack()
         left = [(*r[:5], None, None, None, None, r[5], part, k) for k, r in enumerate(packer.leftovers())]
         yield _batch(rows() + left, arrow)
@@ -188,9 +190,9 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, closi
             packer.pack(last=True)
             yield _batch([(*r[:-1], r[-1] if with_ids else None, group, None) for r in packer.made()], arrow)
 
-    made = common.staged(docs.select("doc_id", "text").mapInArrow(first, schema), "packed")
+    made = common.staged(common.arrow_map(docs.select("doc_id", "text"), first, schema), "packed")
     left = made.where("sequence_id IS NULL").withColumn("_group", F.floor(F.col("part") / GROUP)).repartition("_group").drop("_group")
-    return made.where("sequence_id IS NOT NULL").unionByName(left.mapInArrow(second, schema)).drop("part", "place")
+    return made.where("sequence_id IS NOT NULL").unionByName(common.arrow_map(left, second, schema)).drop("part", "place")
 
 
 def op1_pack_hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:

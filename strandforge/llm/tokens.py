@@ -1,20 +1,17 @@
 """Token counts by overlap resynchronisation, and ids from tokenizer files.
 
-A huge text is encoded in overlapping chunks. Each chunk's tokens get offsets;
+A text longer than a chunk is encoded in overlapping chunks. Each chunk's tokens get offsets;
 in the overlap of two neighbours, a place where both have a token boundary and
 which no piece of the vocabulary can straddle is a proven stable boundary: what
-comes before doesn't change the tokens after it. The chunks are spliced there.
-If an overlap has no such place, it is doubled until it has one or reaches the
-end of the text.
+comes before doesn't change the tokens after it. The chunks are spliced there,
+and the next one begins there. If an overlap has no such place, it is doubled until it has one or reaches the
+end of the text, so a stretch without any costs in proportion to its length.
 
 Which places are stable is proven from the vocabulary when it is loaded: a
 sentencepiece BPE model without a piece that has the blank after another
 character never joins a character and a blank behind it. Its normalizer must
 change nothing (checked too); a model that fails a check is encoded whole.
 
-Texts up to HUGE are encoded word by word from the same proof, each distinct
-word once (a bounded store in each worker).
-
 Defined results: a null text counts as empty (0 tokens); repeated rows count
 each time; columns named like a result are replaced; an empty table gives an
 empty table.
@@ -32,11 +29,13 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Bytes from which a text is encoded in chunks; bytes of a chunk and, at first, of an overlap.
-HUGE, CHUNK, OVERLAP = 48_000, 16_000, 256
-#: Words that a worker remembers.
-STORE = 400_000
+#: Characters of a chunk (a longer text is encoded in chunks) and, at first, of an overlap.
+CHUNK, OVERLAP = 4_000, 128
+#: Parts of words that WordIds remembers.
+STORE = 200_000
 LIMIT = 4096
+#: Bytes of an id.
+WIDTH = 4
 
 
 class Pieces:
@@ -52,31 +51,12 @@ class Pieces:
         probe = " a  b\tc\n 　ﬁ é <s> "
         unchanged = "".join(self.model.encode(probe, out_type=str)).replace("<0x09>", "\t").replace("<0x0A>", "\n").replace("▁", " ") == " " + probe
         self.proven = unchanged and not any(re.search("[^▁]▁", p) for p in pieces)
-        self.known: dict[str, int] = {}
 
     def count(self, raw: bytes) -> int:
         text = raw.decode("utf-8", "replace")
-        if not self.proven or "▁" in text:
-            return len(self.model.encode(text))
-        if len(raw) > HUGE:
+        if len(text) > CHUNK and self.proven and "▁" not in text:
             return self.count_in_chunks(text)
-        return self.count_words(text)
-
-    def count_words(self, text: str) -> int:
-        """The sum over the pieces of text that start at a blank behind another character."""
-        if text[:1] == " " or text[-1:] == " " or "  " in text:
-            return len(self.model.encode(text))
-        words, known = text.split(" "), self.known
-        try:
-            return sum(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > STORE:
-            known.clear()
-            new = list(set(words))
-        known.update(zip(new, map(len, self.model.encode(new, num_threads=1))))
-        return sum(map(known.__getitem__, words))
+        return len(self.model.encode(text))
 
     def starts(self, chunk: str) -> np.ndarray:
         """Byte offsets in the chunk at which its tokens start, and last its end.
@@ -87,30 +67,32 @@ class Pieces:
         return np.concatenate([[0], np.cumsum(self.lengths[ids])]) - 1
 
     def count_in_chunks(self, text: str, size: int = CHUNK, overlap: int = OVERLAP) -> int:
-        """As len(encode(text)), from overlapping chunks of `size` characters."""
-        total, at, counted = 0, 0, 0  # tokens so far; where the chunk starts; its leading bytes that are counted already
+        """As len(encode(text)), from overlapping chunks of `size` characters.
+
+        The blank that the model puts before a chunk stands for the one at the boundary where the chunk before it ends.
+        """
+        total = at = 0
         while True:
-            end, wide, spliced = at + size, overlap, None
+            wide, spliced = overlap, None
             while spliced is None:
-                chunk = text[at : end + wide]
+                chunk = text[at : at + size + wide]
                 mine = self.starts(chunk)
-                first = int(np.searchsorted(mine, counted)) if counted else 0
-                if end + wide >= len(text):
-                    return total + len(mine) - 1 - first
+                if at + size + wide >= len(text):
+                    return total + len(mine) - 1
                 spliced = self.common_boundary(chunk, mine, size)
                 wide *= 2  # without a common stable boundary, a wider overlap
-            inside, overlapped = spliced
-            total += int(np.searchsorted(mine, inside)) - first
-            at, counted = end, overlapped
+            place, offset = spliced
+            total += int(np.searchsorted(mine, offset))
+            at += place + 1
 
     def common_boundary(self, chunk: str, mine: np.ndarray, size: int) -> tuple[int, int] | None:
-        """Byte offsets, in the chunk and in its overlap with the next, of the first stable place where both have a boundary."""
+        """The first stable place where the chunk and its overlap with the next, encoded alone, both have a boundary: in characters and in bytes of the chunk."""
         over = chunk[size:]
         head, theirs = len(chunk[:size].encode()), self.starts(over)
         for m in re.finditer("(?<=[^ ]) ", over):
             offset = len(over[: m.start()].encode())
             if head + offset in mine and offset in theirs:
-                return head + offset, offset
+                return size + m.start(), head + offset
         return None
 
 
@@ -153,19 +135,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 class WordIds:
     """Ids of whole texts from a tokenizers file, each distinct part of a word encoded once.
 
-    It holds for a tokenizer whose pre-tokenizer drops white space and never
-    joins across it. Words of ASCII and Latin letters are divided further, into
-    what PARTS gives, if the file's normalizer and pre-tokenizer are those that
-    PARTS stands for; other words go to the library as they are. encode()
-    returns little-endian unsigned 32-bit ids.
+    A text is divided only if the file's own definition proves that it may be: the
+    pre-tokenizer is the one of PATTERN, which drops white space, the normalizer
+    doesn't join across it, pieces end words, and no added token holds any. With
+    any other file whole texts go to the library. Words of ASCII and Latin
+    letters are divided into what PARTS gives; other words go to the library as
+    they are. encode() returns little-endian unsigned 32-bit ids.
     """
 
-    #: The pre-tokenizer's pattern, and the same for words in lower case of ASCII and Latin letters.
+    #: The pre-tokenizer's pattern, and the same for text in lower case of ASCII and Latin letters.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile("[\t-\r !-~À-ÖØ-öø-ÿ]*")
+    BLANK = re.compile("[\t-\r ]+")
 
-    def __init__(self, path: str, store: int = 2 * STORE) -> None:
+    def __init__(self, path: str, store: int = STORE) -> None:
         import json
         import os
 
@@ -174,59 +158,70 @@ class WordIds:
 
         self.model, self.store = Tokenizer.from_file(path), store
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.blank = re.compile("[ \t\n\x0b\x0c\r]+")
+        self.old: dict[str, bytes] = {}
         spec = json.loads(self.model.to_str())
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        patterns = [t.get("pattern", {}).get("Regex") for t in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        drops = any(t.get("type") == "Split" and t.get("behavior") == "Removed" and t.get("invert") and t.get("pattern", {}).get("Regex") == self.PATTERN for t in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])[:1])
         suffix = spec["model"].get("end_of_word_suffix")
-        self.divides = kinds == ["NFC", "Replace", "Lowercase"] and patterns[:1] == [self.PATTERN] and bool(suffix)
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.divides = self.divides and all("<" in a for a in self.added)
-        ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.divides = kinds == ["NFC", "Replace", "Lowercase"] and drops and bool(suffix) and all("<" in a and not self.BLANK.search(a) for a in self.added)
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
         for piece, k in self.model.get_vocab().items():
-            ends[k] = bool(suffix) and piece.endswith(suffix)
-        self.ends = ends
+            self.ends[k] = bool(suffix) and piece.endswith(suffix)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_parts(self, parts: list[str]) -> None:
-        """Encodes them joined by blanks; each ends where a piece ends a word."""
-        for at in range(0, len(parts), 500):
-            some = parts[at : at + 500]
+    def learn(self, parts: list[str]) -> None:
+        """Encodes parts joined by blanks; each ends where a piece ends a word."""
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
             ids = self.ids([" ".join(some)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            pieces = np.split(ids, cuts[:-1]) if len(cuts) == len(some) and cuts[-1] == len(ids) else self.ids(some)
-            self.parts.update(zip(some, (x.tobytes() for x in pieces)))
-
-    def learn(self, words: set[str]) -> None:
-        odd, divided, plain, divide = [], {}, self.PLAIN.fullmatch, self.PARTS.findall
-        for w in words:
-            if self.divides and plain(w) and not ("<" in w and any(a in w for a in self.added)):
-                divided[w] = divide(w.lower())
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * WIDTH
+            if len(ends) == len(some) and ends[-1] == len(ids) * WIDTH:
+                raw, cuts = ids.tobytes(), [0, *ends.tolist()]
+                self.known.update(zip(some, [raw[x:y] for x, y in zip(cuts, cuts[1:])]))
             else:
-                odd.append(w)
-        if len(self.parts) > STORE:
-            self.parts.clear()
-        self.learn_parts(list({p for of in divided.values() for p in of if p not in self.parts}))
-        parts = self.parts
-        for w, of in divided.items():
-            self.known[w] = b"".join([parts[p] for p in of])
-        self.known.update(zip(odd, (x.tobytes() for x in self.ids(odd)) if odd else ()))
+                self.known.update(zip(some, [x.tobytes() for x in self.ids(some)]))
+
+    def plain(self, text: str) -> bool:
+        return self.PLAIN.fullmatch(text) is not None and not ("<" in text and any(a in text for a in self.added))
+
+    def units(self, text: str, odd: set[str]) -> list[str]:
+        """The text's parts, and words that can't be divided, which are added to `odd`."""
+        if self.plain(text):
+            return self.PARTS.findall(text.lower())
+        out = []
+        for w in self.BLANK.split(text):
+            if self.plain(w):
+                out += self.PARTS.findall(w.lower())
+            else:
+                odd.add(w)
+                out.append(w)
+        return out
+
+    def forget(self) -> None:
+        self.known, self.old = {}, {}
 
     def encode(self, text: str) -> bytes:
-        words, known = self.blank.split(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = {w for w in words if w not in known}
-        if len(known) + len(new) > self.store:
-            known.clear()
-            new = set(words)
-        self.learn(new)
-        return b"".join(map(known.__getitem__, words))
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        if not self.divides:
+            return [x.tobytes() for x in self.ids(texts)]
+        if len(self.known) > self.store // 2:  # what is met again comes back from the older half
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        odd: set[str] = set()
+        units = [self.units(t, odd) for t in texts]
+        new = {u for u in set().union(*units) if u not in known}
+        met = {u for u in new if u in old}
+        known.update((w, old[w]) for w in met)
+        new -= met
+        if whole := list(new & odd):
+            known.update(zip(whole, [x.tobytes() for x in self.ids(whole)]))
+        self.learn(list(new - odd))
+        return [b"".join(map(known.__getitem__, of)) for of in units]
 
 
 @cache
