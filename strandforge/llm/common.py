@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -53,15 +54,37 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bounds of a batch that Spark sends to a Python worker: a few thousand rows can be any number of bytes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 @cache
-def lean() -> None:
-    """Let a Python worker give big arrays back to the system as soon as it drops them.
+def _lean() -> Callable[[], object]:
+    """Lets a Python worker give big arrays back to the system as soon as it drops them; returns what gives back the rest.
 
     Workers serve many tasks, and several share an executor's memory.
     """
     pa.set_memory_pool(pa.system_memory_pool())
-    if hasattr(libc := ctypes.CDLL(None), "mallopt"):
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
         libc.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD: larger blocks are mapped, each for itself
+    return (lambda: libc.malloc_trim(0)) if hasattr(libc, "malloc_trim") else (lambda: None)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow(run, schema) in workers that keep little memory. It sets the session's BATCH."""
+    for name, value in BATCH.items():
+        df.sparkSession.conf.set(name, value)
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim = _lean()
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            trim()
+
+    return df.mapInArrow(lean, schema)
 
 
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
@@ -90,7 +113,6 @@ def with_results(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean()
         f = compute()
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
@@ -100,7 +122,7 @@ def with_results(
                 out = pa.RecordBatch.from_arrays(arrays, schema=arrow)
                 yield out.filter(made[-1]) if row_filter else out
 
-    return df.mapInArrow(run, schema)
+    return arrow_map(df, run, schema)
 
 
 def need(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -476,7 +476,7 @@ def _partials(pages: DataFrame) -> DataFrame:
         fields = [x.split() for x in PARTIAL.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
-    return pages.select("host", "html").mapInArrow(first, PARTIAL)
+    return common.arrow_map(pages.select("host", "html"), first, PARTIAL)
 
 
 def _fold(found: dict[str, tuple[int, list]], host: str, n: int, w: list) -> None:
@@ -503,7 +503,7 @@ def _whole(partials: DataFrame) -> DataFrame:
             names=["host", "pages", "texts", "wrapper"],
         )
 
-    return partials.where("wrapper IS NOT NULL").select("host", "part", "pages", "texts", "wrapper").repartition("host").mapInArrow(second, WRAPPER)
+    return common.arrow_map(partials.where("wrapper IS NOT NULL").select("host", "part", "pages", "texts", "wrapper").repartition("host"), second, WRAPPER)
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:

@@ -130,6 +130,16 @@ def _read_schema(doc_id: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of x, first the first byte of every number: sorted numbers compress well so."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _numbers(blob: pa.Scalar, kind: str) -> np.ndarray:
+    planes = np.frombuffer(blob.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _rows(arrow: pa.Schema, size: int, **columns) -> pa.RecordBatch:
     arrays = [pa.array(columns[f.name], f.type) if f.name in columns and not isinstance(columns[f.name], pa.Array) else columns.get(f.name, pa.nulls(size, f.type)) for f in arrow]
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)
@@ -148,7 +158,6 @@ def read_sets(docs: DataFrame, words: int, buckets: int, very: np.ndarray) -> Da
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.lean()
         shingles, part = Shingles(words), TaskContext.get().partitionId()
         edges = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets) << np.uint64(32)
         seen: set[int] = set()
@@ -171,11 +180,11 @@ def read_sets(docs: DataFrame, words: int, buckets: int, very: np.ndarray) -> Da
                 gram = entries >> np.uint64(CLASS_BITS)
                 common_one = very[np.minimum(np.searchsorted(very, gram), len(very) - 1)] == gram
                 if common_one.any():
-                    yield _rows(arrow, 1, kind=[VERY], bucket=[spread], chunk=[chunk], entries=[entries[common_one].tobytes()])
+                    yield _rows(arrow, 1, kind=[VERY], bucket=[spread], chunk=[chunk], entries=[_planes(entries[common_one])])
                     entries = entries[~common_one]
             cuts = [0, *np.searchsorted(entries, edges).tolist(), len(entries)]
             which = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
-            yield _rows(arrow, len(which), kind=[GRAMS] * len(which), bucket=which, chunk=[chunk] * len(which), entries=[entries[cuts[k] : cuts[k + 1]].tobytes() for k in which])
+            yield _rows(arrow, len(which), kind=[GRAMS] * len(which), bucket=which, chunk=[chunk] * len(which), entries=[_planes(entries[cuts[k] : cuts[k + 1]]) for k in which])
             for x in (keys, sizes, held):
                 x.clear()
             size = 0
@@ -201,7 +210,7 @@ def read_sets(docs: DataFrame, words: int, buckets: int, very: np.ndarray) -> Da
             yield _rows(arrow, b.num_rows, kind=[DOC] * b.num_rows, doc_id=b.column("doc_id"), n=ns, key=own, bucket=[(part + i) % buckets for i in range(b.num_rows)])
         yield from flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return common.arrow_map(docs.select("doc_id", "text"), run, schema)
 
 
 def _counted(blobs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +227,7 @@ def _add(by: dict[int, list[tuple[int, np.ndarray]]], b: pa.RecordBatch) -> None
     """Adds the GRAMS rows of b to their buckets, as (chunk, entries)."""
     grams = b.filter(pc.equal(b.column("kind"), GRAMS))
     for k, chunk, blob in zip(grams.column("bucket").to_pylist(), grams.column("chunk").to_pylist(), grams.column("entries")):
-        by.setdefault(k, []).append((chunk, np.frombuffer(blob.as_buffer(), "<u8")))
+        by.setdefault(k, []).append((chunk, _numbers(blob, "<u8")))
 
 
 def very_common(docs: DataFrame, words: int, rows: int, buckets: int) -> np.ndarray:
@@ -229,7 +238,6 @@ def very_common(docs: DataFrame, words: int, rows: int, buckets: int) -> np.ndar
     sample = docs.where(F.pmod(F.xxhash64(F.lit("n-grams"), "doc_id"), F.lit(1 << 20)) < int(chance * (1 << 20)))
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.lean()
         by: dict[int, list[tuple[int, np.ndarray]]] = {}
         for b in batches:
             _add(by, b)
@@ -238,7 +246,7 @@ def very_common(docs: DataFrame, words: int, rows: int, buckets: int) -> np.ndar
             yield pa.RecordBatch.from_arrays([pa.array(grams[counts >= least].astype(np.int64))], names=["gram"])
 
     dealt = read_sets(sample, words, buckets, np.zeros(0, np.uint64)).where(F.col("kind") == GRAMS).repartition(buckets, "bucket")
-    found = spark.createDataFrame([], "gram long") if rows < least else dealt.mapInArrow(often, "gram long")
+    found = spark.createDataFrame([], "gram long") if rows < least else common.arrow_map(dealt, often, "gram long")
     return np.sort(np.array([r[0] for r in found.collect()], np.uint64))
 
 
@@ -249,7 +257,6 @@ def shared_grams(read: DataFrame, buckets: int) -> DataFrame:
     arrow = to_arrow_schema(read.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.lean()
         by: dict[int, list[tuple[int, np.ndarray]]] = {}
         for b in batches:
             _add(by, b)
@@ -268,12 +275,12 @@ def shared_grams(read: DataFrame, buckets: int) -> DataFrame:
                 hit = grams[at] == own
                 if hit.any():
                     out["chunk"].append(chunk)
-                    out["entries"].append(entries[hit].tobytes())
-                    out["counts"].append(kinds[at[hit]].tobytes())
+                    out["entries"].append(_planes(entries[hit]))
+                    out["counts"].append(_planes(kinds[at[hit]]))
             size = len(out["chunk"])
             yield _rows(arrow, size, kind=[GRAMS] * size, **out)
 
-    return read.repartition(buckets, "bucket").mapInArrow(run, read.schema)
+    return common.arrow_map(read.repartition(buckets, "bucket"), run, read.schema)
 
 
 #: A row of the index: an n-gram of a set's prefix; the set, its members, those of its own; where the n-gram stands; how many others the set has in each range.
@@ -285,7 +292,6 @@ def prefixes(shared: DataFrame, num: int, den: int) -> DataFrame:
     """INDEX rows of all sets' prefixes, and a row (key, n, grams) for each set that has one: its members that others have too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.lean()
         chunks: dict[int, dict[str, list]] = {}
         for b in batches:
             for kind, chunk, entries, counts in zip(b.column("kind").to_pylist(), b.column("chunk").to_pylist(), b.column("entries"), b.column("counts")):
@@ -293,8 +299,8 @@ def prefixes(shared: DataFrame, num: int, den: int) -> DataFrame:
                 if kind == CLASSES:
                     own["classes"].append(np.frombuffer(entries.as_buffer(), "<i8"))
                     continue
-                own["entries"].append(np.frombuffer(entries.as_buffer(), "<u8"))
-                own["counts"].append(np.frombuffer(counts.as_buffer(), "<u2") if kind == GRAMS else np.full(len(own["entries"][-1]), LAST))
+                own["entries"].append(_numbers(entries, "<u8"))
+                own["counts"].append(_numbers(counts, "<u2") if kind == GRAMS else np.full(len(own["entries"][-1]), LAST))
         for name in sorted(chunks):
             chunk = chunks.pop(name)
             if len(chunk["classes"]) != 1:
@@ -325,7 +331,7 @@ def prefixes(shared: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([none, long(keys[some]), short(n[some]), short(own[some]), none.cast(pa.int32()), none, pa.array(blobs, pa.binary())], names=[*INDEX, "grams"])
 
     dealt = shared.where(F.col("kind") != DOC).select("kind", "chunk", "entries", "counts").repartition("chunk")
-    return dealt.mapInArrow(run, f"{_INDEX}, grams binary")
+    return common.arrow_map(dealt, run, f"{_INDEX}, grams binary")
 
 
 Side = Callable[[str], Column]
@@ -384,7 +390,6 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     placed = need.join(sets, "key").repartition("a", "part").sortWithinPartitions("a", "part", F.col("key") != F.col("a"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.lean()
         centre, own, grams, alone = None, None, None, 0
         for b in batches:
             left, right = [], []
@@ -397,7 +402,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
                     right.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return placed.select("a", "part", "key", "own", "grams").mapInArrow(run, "a long, b long")
+    return common.arrow_map(placed.select("a", "part", "key", "own", "grams"), run, "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

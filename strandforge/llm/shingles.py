@@ -87,7 +87,9 @@ class Shingles:
 
     def _joined(self, h: np.ndarray, k: int) -> np.ndarray:
         """Hashes of every k consecutive words."""
-        out = np.full(max(0, len(h) - k + 1), k, np.uint64)
+        if len(h) < k:
+            return np.zeros(0, np.uint64)
+        out = np.full(len(h) - k + 1, k, np.uint64)
         with np.errstate(over="ignore"):
             for i in range(k):
                 out = (out * _M3) ^ (out >> _S29)

@@ -36,8 +36,8 @@ SIZES = (4, 5, 6)
 #: Features, and training texts that must have one.
 FEATURES, MIN_TEXTS = 8_000, 4
 PENALTY, STEPS = 1e-3, 300
-#: Words that a worker remembers.
-STORE = 300_000
+#: Words whose features a worker remembers when it scores; words and n-grams that it holds when it counts.
+STORE, COUNT_WORDS, COUNT_GRAMS = 100_000, 10_000, 250_000
 MARK = "\x02"
 
 
@@ -119,11 +119,13 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, features: int = FEATURE
                         of[w] = grams(w, sizes)
                     own |= of[w]
                 found[toxic].update(own)
-                if len(found[0]) + len(found[1]) > 1_000_000 or len(of) > STORE:
+                if len(found[0]) + len(found[1]) > COUNT_GRAMS:
                     yield flush()
+                elif len(of) > COUNT_WORDS:
+                    of.clear()
         yield flush()
 
-    counts = rows.mapInArrow(count, "gram string, clean long, toxic long").groupBy("gram").agg(F.sum("clean").alias("q"), F.sum("toxic").alias("p"))
+    counts = common.arrow_map(rows, count, "gram string, clean long, toxic long").groupBy("gram").agg(F.sum("clean").alias("q"), F.sum("toxic").alias("p"))
     both = (F.col("p") + F.col("q")) / (n1 + n0)
     z = F.abs(F.col("p") / n1 - F.col("q") / n0) / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-12)
     chosen = counts.where((F.col("p") + F.col("q") >= MIN_TEXTS) & (F.col("p") + F.col("q") < n1 + n0)).orderBy(z.desc(), "gram").limit(features).collect()
@@ -137,7 +139,7 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, features: int = FEATURE
             own = [sorted(shape.features(x)) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), batch.column("toxic")], names=["own", "toxic"])
 
-    sample = rows.mapInArrow(number, "own array<int>, toxic int").toArrow()
+    sample = common.arrow_map(rows, number, "own array<int>, toxic int").toArrow()
     own = sorted(zip(sample.column("own").to_pylist(), sample.column("toxic").to_pylist()))
     y = np.array([t for _, t in own], np.float64)
     which = np.concatenate([np.array(o, np.int64) for o, _ in own])
