@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _names(keys: str | Iterable[str]) -> list[str]:
@@ -159,24 +160,48 @@ def consecutive_runs(df: DataFrame, keys: str | Iterable[str], number: str) -> D
     return islands.groupBy(*keys, "_island").agg(F.min(number).alias("run_start"), F.max(number).alias("run_end"), F.count("*").alias("run_length")).drop("_island")
 
 
-def size_chunks(df: DataFrame, order: str, size: str, limit: int) -> DataFrame:
-    """chunk: how often the running size (in `order`, exclusive) has passed the limit.
+#: Sampled rows for each range of ranged().
+RANGE_SAMPLE = 20
+
+
+def ranged(df: DataFrame, order: Iterable[str]) -> DataFrame:
+    """df with _tie (a hash of the whole row, so that rows alike in `order` may be parted) and _range, a number that grows with (order, _tie).
 
-    The running sum is taken in two levels: ranges of `order` are added up, then
-    each row adds what lies before its range, so no task sees all rows.
+    The borders are quantiles of a bounded sample and stand in the plan as literals, so
+    _range depends on the row alone: unlike a partition's number it is the same in
+    every branch of a plan, however exchanges are coalesced.
     """
-    spread = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    sums = spread.groupBy("_part").agg(F.sum(size).alias("_sum"))
-    before = sums.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_before"))
-    inside = F.sum(size).over(Window.partitionBy("_part").orderBy(order)) - F.col(size)
-    return spread.withColumn("_inside", inside).join(F.broadcast(before), "_part").withColumn("chunk", F.floor((F.col("_before") + F.col("_inside")) / limit)).drop("_part", "_inside", "_before")
+    order = list(order)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    keyed = df.withColumn("_tie", tie)
+    key = F.struct(*[F.col(f"`{c}`") for c in order], "_tie")
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    picked = keyed.select(key.alias("k"), F.xxhash64(F.lit("range"), "_tie").alias("u")).orderBy("u").limit(parts * RANGE_SAMPLE)
+    borders = picked.agg(F.sort_array(F.collect_set("k")).alias("k")).first()["k"]
+    borders = borders[:: -(-len(borders) // parts)][1:] if borders else []
+    if not borders:
+        return keyed.withColumn("_range", F.lit(0))
+    spark, kind = df.sparkSession, T.ArrayType(keyed.select(key.alias("k")).schema["k"].dataType)
+    one = spark.createDataFrame([(borders,)], T.StructType([T.StructField("_borders", kind)]))
+    number = F.size(F.filter("_borders", lambda b: b <= key))
+    return keyed.crossJoin(F.broadcast(one)).withColumn("_range", number).drop("_borders")
+
+
+def _running(df: DataFrame, order: Iterable[str], value: Column) -> DataFrame:
+    """df with _upto, the sum of `value` over the rows before in (order, hash of the row), in two levels: no task sees all rows."""
+    order = list(order)
+    spread = ranged(df, order)
+    sums = spread.groupBy("_range").agg(F.sum(value).alias("_sum"))  # as many rows as ranges
+    before = sums.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_before"))
+    inside = F.sum(value).over(Window.partitionBy("_range").orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - value
+    return spread.withColumn("_inside", inside).join(F.broadcast(before), "_range").withColumn("_upto", F.col("_before") + F.col("_inside")).drop("_range", "_tie", "_inside", "_before")
+
+
+def size_chunks(df: DataFrame, order: str, size: str, limit: int) -> DataFrame:
+    """chunk: how often the running size (in `order`, exclusive) has passed the limit."""
+    return _running(df, [order], F.col(size)).withColumn("chunk", F.floor(F.col("_upto") / limit)).drop("_upto")
 
 
 def dense_ids(df: DataFrame, order: str | Iterable[str], column: str, start: int = 1) -> DataFrame:
-    """Gapless ids in `order`, in two levels like size_chunks: no single-task window over the rows."""
-    order = _names(order)
-    spread = df.repartitionByRange(*[F.col(o) for o in order]).withColumn("_part", F.spark_partition_id())
-    counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return spread.withColumn("_inside", inside).join(F.broadcast(before), "_part").withColumn(column, F.col("_before") + F.col("_inside") + (start - 1)).drop("_part", "_inside", "_before")
+    """Gapless ids in `order`; rows alike in it follow a hash of the whole row."""
+    return _running(df, _names(order), F.lit(1).cast("long")).withColumn(column, F.col("_upto") + start).drop("_upto")

@@ -52,16 +52,21 @@ def load_xref(xref: DataFrame, staged: DataFrame, release: int, previous: int |
     1 without a history; the last version_i if that was the same upi and nothing is
     active; otherwise one more. Rows of other databases don't change.
     """
-    dbs = staged.select("dbid").distinct()
-    mine, others = xref.join(dbs, "dbid", "left_semi"), xref.join(dbs, "dbid", "left_anti")
+    return _load_xref(xref, staged, staged.select("dbid").distinct().select("dbid", F.lit(release).alias("_release"), F.lit(previous).cast("int").alias("_previous")))
+
+
+def _load_xref(xref: DataFrame, staged: DataFrame, dbs: DataFrame) -> DataFrame:
+    """load_xref for databases with releases of their own. dbs: dbid, _release, _previous, one row a database."""
+    release = F.col("_release")
+    mine, others = xref.join(dbs, "dbid"), xref.join(dbs, "dbid", "left_anti")
     old, active = mine.where("deleted = 'Y'"), mine.where("deleted = 'N'")
-    s = staged.select("dbid", "ac", "upi", F.col("version").alias("_version"), F.col("taxid").alias("_taxid"), F.lit(True).alias("_hit"))
-    matched = active.join(s, ["dbid", "ac", "upi"], "left")
+    s = staged.join(dbs, "dbid").select("dbid", "ac", "upi", "_release", F.col("version").alias("_version"), F.col("taxid").alias("_taxid"), F.lit(True).alias("_hit"))
+    matched = active.join(s.drop("_release"), ["dbid", "ac", "upi"], "left")
     goes_on = F.col("_hit") & (F.col("last") < release) & F.col("version").eqNullSafe(F.col("_version"))
     goes_on = F.coalesce(goes_on, F.lit(False))
-    retired_at = F.coalesce(F.lit(previous).cast("int"), F.col("last"))
-    kept = matched.select("dbid", "ac", "upi", "version", "version_i", "created", F.when(goes_on, F.lit(release)).otherwise(retired_at).alias("last"), F.when(goes_on, "N").otherwise("Y").alias("deleted"), "taxid")
-    fresh = dict(created=F.lit(release), last=F.lit(release), deleted=F.lit("N"))
+    retired_at = F.coalesce(F.col("_previous"), F.col("last"))
+    kept = matched.select("dbid", "ac", "upi", "version", "version_i", "created", F.when(goes_on, release).otherwise(retired_at).alias("last"), F.when(goes_on, "N").otherwise("Y").alias("deleted"), "taxid")
+    fresh = dict(created=release, last=release, deleted=F.lit("N"))
     again = matched.where(F.coalesce("_hit", F.lit(False)) & ~goes_on).select("dbid", "ac", "upi", F.col("_version").alias("version"), "version_i", fresh["created"].alias("created"), fresh["last"].alias("last"), fresh["deleted"].alias("deleted"), F.col("_taxid").alias("taxid"))
     history = mine.groupBy("dbid", "ac").agg(F.max("version_i").alias("_max"), F.max_by("upi", F.struct("version_i", "created", "last", "upi")).alias("_last_upi"), F.bool_or(F.col("deleted") == "N").alias("_active"))
     new = s.join(active.select("dbid", "ac", "upi"), ["dbid", "ac", "upi"], "left_anti").join(history, ["dbid", "ac"], "left")
@@ -164,11 +169,10 @@ def active_upi(xref: DataFrame, releases: DataFrame) -> DataFrame:
 def run_releases(xref: DataFrame, staged: DataFrame, first: int) -> tuple[DataFrame, DataFrame]:
     """All staged databases, one after another: (xref, releases). Databases get consecutive ids in order of dbid.
 
-    The loop goes over databases (a few dozen), never over rows.
+    One plan for all databases: the release and the one before it are columns of a table with a row for each.
     """
-    dbs = [r["dbid"] for r in staged.select("dbid").distinct().orderBy("dbid").collect()]
-    previous = {r["dbid"]: r["last"] for r in xref.groupBy("dbid").agg(F.max("last").alias("last")).collect()}
-    for k, db in enumerate(dbs):
-        xref = load_xref(xref, staged.where(F.col("dbid") == db), first + k, previous.get(db))
-    rows = [(first + k, db, "F", "D") for k, db in enumerate(dbs)]
-    return xref, staged.sparkSession.createDataFrame(rows, "id int, dbid int, release_type string, status string")
+    numbered = staged.select("dbid").distinct().select("dbid", (F.row_number().over(Window.orderBy("dbid")) + (first - 1)).cast("int").alias("_release"))
+    previous = xref.groupBy("dbid").agg(F.max("last").cast("int").alias("_previous"))
+    dbs = numbered.join(previous, "dbid", "left").select("dbid", "_release", "_previous")
+    releases = numbered.select(F.col("_release").alias("id"), "dbid", F.lit("F").alias("release_type"), F.lit("D").alias("status"))
+    return _load_xref(xref, staged, dbs), releases

@@ -80,10 +80,10 @@ def _(t):
     return release.release_stats(release.load_xref(old, new, 2, 1), 2)
 
 
-@query("op_release_driver", _XREF + " SELECT DISTINCT dbid, 'F' AS release_type FROM s")
+@query("op_release_driver", _XREF + ", d AS (SELECT dbid, row_number() OVER (ORDER BY dbid) + 1 AS id FROM (SELECT DISTINCT dbid FROM s)) SELECT r.dbid, ac, upi, version, version_i, CASE WHEN created = 2 THEN id ELSE created END::INT AS created, CASE WHEN last = 2 THEN id ELSE last END::INT AS last, deleted FROM r LEFT JOIN d ON d.dbid = r.dbid")
 def _(t):
     old, new = _xref(t)
-    return release.run_releases(old, new, 2)[1].select("dbid", "release_type")
+    return release.run_releases(old, new, 2)[0].drop("taxid")
 
 
 @query("op_expunge", _XREF + " SELECT count(*) AS n FROM x")
@@ -452,9 +452,9 @@ def _(t):
     return sources_plans.reference_lookup(t("customer").select(F.col("c_custkey").alias("ref")), articles)[0]
 
 
-@query("op_reference_missing", "SELECT c_custkey AS ref FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("op_reference_missing", "SELECT c_custkey AS ref FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')")
 def _(t):
-    articles = t("orders").select(F.array("o_custkey").alias("ids"), F.col("o_orderkey").alias("article"))
+    articles = t("orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").select(F.array("o_custkey").alias("ids"), F.col("o_orderkey").alias("article"))
     return sources_plans.reference_lookup(t("customer").select(F.col("c_custkey").alias("ref")), articles)[1]
 
 
@@ -488,9 +488,9 @@ def _(t):
     return export.gff3(_regions(t)).select("type", "start", "end")
 
 
-@query("sink_fasta", "SELECT '>' || doc_id || ' ' || lang || chr(10) || upper(lang) AS value FROM documents WHERE regexp_matches(upper(lang), '^[A-Z]+$')")
+@query("sink_fasta", "SELECT '>' || doc_id || ' ' || lang || chr(10) || upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS value FROM documents WHERE regexp_matches(text, '[A-Za-z]')")
 def _(t):
-    return export.fasta(t("documents").select(F.col("doc_id").cast("string").alias("id"), "lang", F.upper("lang").alias("s")), "id", "lang", "s", "A-Z")
+    return export.fasta(t("documents").select(F.col("doc_id").cast("string").alias("id"), "lang", F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("s")), "id", "lang", "s", "A-Z")
 
 
 @query("sink_dfasta", "SELECT '>' || p_partkey || chr(10) || p_brand || chr(10) || p_type AS value FROM part")
@@ -534,35 +534,34 @@ def _(t):
     return export.release_note(t("documents"), t("labels").withColumn("deleted", F.lit("N")), t("documents").select("source").distinct())
 
 
-@query("op_crs_select", _EXON + ", x AS (SELECT k, a, b FROM e WHERE k % 8 = 0), y AS (SELECT a, b FROM e WHERE k % 8 = 4) SELECT k, a, b FROM x WHERE NOT EXISTS (SELECT 1 FROM y WHERE x.a < y.b AND y.a < x.b)")
+@query("op_crs_select", _EXON.replace("AS b FROM lineitem", "AS b, l_returnflag AS flag FROM lineitem") + ", x AS (SELECT k, a, b FROM e WHERE flag = 'A'), y AS (SELECT a, b FROM e WHERE flag = 'R') SELECT k, a, b FROM x WHERE NOT EXISTS (SELECT 1 FROM y WHERE x.a < y.b AND y.a < x.b)")
 def _(t):
     from ..operators import ranges
 
     e = _exons_near(t)
-    left = e.where("k % 8 = 0")
-    return ranges.overlap_filter(left, e.where("k % 8 = 4"), ["chromosome"], 64, "id", keep=False).select("k", F.col("start").alias("a"), F.col("stop").alias("b"))
+    return ranges.overlap_filter(e.where("flag = 'A'"), e.where("flag = 'R'"), ["chromosome"], 64, "id", keep=False).select("k", F.col("start").alias("a"), F.col("stop").alias("b"))
 
 
 def _exons_near(t):
     start = (F.col("l_orderkey") * 40 + F.col("l_linenumber") * 60).cast("long")
-    return t("lineitem").select(F.col("l_orderkey").alias("k"), F.concat_ws("-", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").cast("string")).alias("id"), F.lit("1").alias("chromosome"), start.alias("start"), (start + F.col("l_quantity")).cast("long").alias("stop"))
+    return t("lineitem").select(F.col("l_orderkey").alias("k"), F.concat_ws("-", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").cast("string"), "l_returnflag").alias("id"), F.lit("1").alias("chromosome"), F.col("l_returnflag").alias("flag"), start.alias("start"), (start + F.col("l_quantity")).cast("long").alias("stop"))
 
 
-@query("op_overlap_feedback", _EXON + ", p AS (SELECT x.k % 4 AS db, x.k AS a, y.k AS b FROM e x JOIN e y ON x.a < y.b AND y.a < x.b AND x.k <> y.k WHERE x.k % 16 = 0) SELECT db, count(DISTINCT a) AS overlapping, count(DISTINCT b) AS others FROM p GROUP BY db")
+@query("op_overlap_feedback", _EXON + ", p AS (SELECT x.k % 4 AS db, x.k AS a, y.k AS b FROM e x JOIN e y ON x.a < y.b AND y.a < x.b AND x.k <> y.k) SELECT db, count(DISTINCT a) AS overlapping, count(DISTINCT b) AS others FROM p GROUP BY db")
 def _(t):
     from ..operators import ranges
 
     e = _exons_near(t)
-    pairs = ranges.overlap_join(e.where("k % 16 = 0"), e, ["chromosome"], 64).where("l_k <> r_k")
+    pairs = ranges.overlap_join(e, e, ["chromosome"], 64).where("l_k <> r_k")
     return pairs.groupBy((F.col("l_k") % 4).alias("db")).agg(F.count_distinct("l_k").alias("overlapping"), F.count_distinct("r_k").alias("others"))
 
 
-@query("op_editing_events", _EXON.replace("FROM lineitem)", "FROM (SELECT l_orderkey, l_linenumber, min(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL))") + ", x AS (SELECT k, a + 5 AS pos FROM e WHERE k % 10 = 0), g AS (SELECT k, a, b, coalesce(sum(b - a + 1) OVER (PARTITION BY k ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e WHERE k % 2 = 0) SELECT x.k, pos, (before + pos - a + 1)::BIGINT AS place FROM x JOIN g ON g.k = x.k AND pos BETWEEN a AND b")
+@query("op_editing_events", _EXON.replace("FROM lineitem)", "FROM (SELECT l_orderkey, l_linenumber, min(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL))") + ", x AS (SELECT k, a + 5 AS pos FROM e), g AS (SELECT k, a, b, coalesce(sum(b - a + 1) OVER (PARTITION BY k ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e) SELECT x.k, pos, (before + pos - a + 1)::BIGINT AS place FROM x JOIN g ON g.k = x.k AND pos BETWEEN a AND b")
 def _(t):
     from ..functions import coordinates
 
     lines = t("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("l_quantity"))
-    exons = _transcripts(lambda _name: lines).where("idx % 10 = 0").select(F.col("idx").alias("k"), "exons")
+    exons = _transcripts(lambda _name: lines).select(F.col("idx").alias("k"), "exons")
     events = exons.select("k", "exons", F.explode("exons").alias("e")).select("k", "exons", (F.col("e.start") + 5).alias("pos"))
     placed = events.withColumn("place", coordinates.relative_position(F.col("exons"), F.lit(1), F.col("pos")))
     return placed.where("place IS NOT NULL").select("k", "pos", "place")

@@ -40,9 +40,9 @@ def _(t):
     return part.join(line, F.col("p_partkey") == F.col("l_partkey"), "right").select("l_orderkey", "l_linenumber", F.when(F.col("p_size") > 25, F.col("p_partkey")).alias("matched"))
 
 
-@query("join_anti_right_null", "SELECT l.c_custkey FROM orders o RIGHT OUTER JOIN customer l ON o.o_custkey = l.c_custkey WHERE o.o_orderkey IS NULL")
+@query("join_anti_right_null", "SELECT l.c_custkey FROM (SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') o RIGHT OUTER JOIN customer l ON o.o_custkey = l.c_custkey WHERE o.o_orderkey IS NULL")
 def _(t):
-    return t("customer").join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    return t("customer").join(t("orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("join_anti_left_null", "SELECT p_partkey FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 40) ON l_partkey = p_partkey WHERE l_orderkey IS NULL")
@@ -50,9 +50,9 @@ def _(t):
     return t("part").join(t("lineitem").where("l_quantity > 40"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select("p_partkey")
 
 
-@query("anti_not_exists", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
+@query("anti_not_exists", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')")
 def _(t):
-    return t("customer").join(t("orders").where("o_totalprice > 200000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    return t("customer").join(t("orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("semi_exists", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
@@ -160,36 +160,40 @@ def _(t):
     return a.crossJoin(F.broadcast(b)).withColumn("sim", sim)
 
 
-def _spans(t, lines):
+def _spans(t, lines, strand="l_returnflag", more=()):
     """Line items as intervals of days: from the ship date, as long as the quantity."""
-    return t("lineitem").where(lines).select(F.concat_ws("-", "l_orderkey", "l_linenumber", day("l_shipdate").cast("string"), F.col("l_quantity").cast("int").cast("string")).alias("id"), F.col("l_returnflag").alias("strand"), day("l_shipdate").alias("start"), (day("l_shipdate") + F.col("l_quantity").cast("long")).alias("stop"))
+    return t("lineitem").where(lines).select(F.concat_ws("-", "l_orderkey", "l_linenumber", *more, day("l_shipdate").cast("string"), F.col("l_quantity").cast("int").cast("string")).alias("id"), F.col(strand).alias("strand"), day("l_shipdate").alias("start"), (day("l_shipdate") + F.col("l_quantity").cast("long")).alias("stop"))
 
 
-_SPANS = """WITH s AS (SELECT l_orderkey || '-' || l_linenumber || '-' || date_diff('day', DATE '1970-01-01', l_shipdate::DATE) || '-' || l_quantity::INT AS id, l_returnflag AS strand, l_linenumber AS n, l_orderkey AS k, date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::BIGINT AS start,
-date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::BIGINT + l_quantity::BIGINT AS stop FROM lineitem), a AS (SELECT * FROM s WHERE n = 1 AND k % 16 = 0), b AS (SELECT * FROM s WHERE n = 2 AND k % 16 = 1)"""
-_A, _B = "l_linenumber = 1 AND l_orderkey % 16 = 0", "l_linenumber = 2 AND l_orderkey % 16 = 1"
+def _sides(t):
+    """All returned line items of a supplier against all its accepted ones."""
+    return _spans(t, "l_returnflag = 'R'", "l_suppkey", ["l_suppkey"]), _spans(t, "l_returnflag = 'A'", "l_suppkey", ["l_suppkey"])
+
+
+_SPANS = """WITH s AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_suppkey || '-' || date_diff('day', DATE '1970-01-01', l_shipdate::DATE) || '-' || l_quantity::INT AS id, l_suppkey AS strand, l_returnflag AS flag, date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::BIGINT AS start,
+date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::BIGINT + l_quantity::BIGINT AS stop FROM lineitem), a AS (SELECT * FROM s WHERE flag = 'R'), b AS (SELECT * FROM s WHERE flag = 'A')"""
 
 
 @query("interval_overlap", _SPANS + " SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.strand = b.strand AND a.start < b.stop AND b.start < a.stop")
 def _(t):
-    return ranges.overlap_join(_spans(t, _A), _spans(t, _B), ["strand"], 32).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    return ranges.overlap_join(*_sides(t), ["strand"], 32).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
 
 
 @query("join_interval_report", _SPANS + " SELECT id, EXISTS (SELECT 1 FROM b WHERE a.strand = b.strand AND a.start < b.stop AND b.start < a.stop) AS hit FROM a")
 def _(t):
-    a, b = _spans(t, _A), _spans(t, _B)
+    a, b = _sides(t)
     hit = ranges.overlap_filter(a, b, ["strand"], 32, "id").select("id", F.lit(True).alias("hit"))
     return hit.unionByName(ranges.overlap_filter(a, b, ["strand"], 32, "id", keep=False).select("id", F.lit(False).alias("hit")))
 
 
 @query("join_interval_envelop", _SPANS + " SELECT id FROM a WHERE EXISTS (SELECT 1 FROM b WHERE a.strand = b.strand AND b.start <= a.start AND b.stop >= a.stop)")
 def _(t):
-    return ranges.overlap_filter(_spans(t, _A), _spans(t, _B), ["strand"], 32, "id", enclosed=True).select("id")
+    return ranges.overlap_filter(*_sides(t), ["strand"], 32, "id", enclosed=True).select("id")
 
 
 @query("join_range_or", _SPANS + " SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.strand = b.strand AND (abs(a.start - b.start) <= 5 OR abs(a.stop - b.stop) <= 5)")
 def _(t):
-    return ranges.within_either(_spans(t, _A), _spans(t, _B), ["strand"], 5).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    return ranges.within_either(*_sides(t), ["strand"], 5).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
 
 
 @query("join_window_near_iter")

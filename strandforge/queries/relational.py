@@ -38,9 +38,9 @@ def _(t):
     return t("documents").select("doc_id", x.rlike("[Nn]{2,}").alias("runs"), x.rlike(r"^[A-Za-z ,.\n]+\z").alias("plain"), (~x.rlike("([Ee][^Ee]*){50}")).alias("few"))
 
 
-@query("filt_not_exists_sub", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_custkey = c.c_custkey AND l.l_returnflag = 'R')")
+@query("filt_not_exists_sub", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_custkey = c.c_custkey AND l.l_returnflag = 'R' AND l.l_quantity > 48)")
 def _(t):
-    done = t("orders").join(t("lineitem").where("l_returnflag = 'R'"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"))
+    done = t("orders").join(t("lineitem").where("l_returnflag = 'R' AND l_quantity > 48"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"))
     return t("customer").join(done, "c_custkey", "left_anti").select("c_custkey")
 
 
@@ -229,14 +229,14 @@ def _(t):
     return t("customer").select(F.col("c_nationkey").alias("k"), F.lit("c").alias("kind")).unionByName(t("supplier").select(F.col("s_nationkey").alias("k"), F.lit("s").alias("kind")))
 
 
-@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
 def _(t):
-    return t("customer").select(F.col("c_custkey").alias("k")).subtract(t("orders").select("o_custkey"))
+    return t("customer").select(F.col("c_custkey").alias("k")).subtract(t("orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").select("o_custkey"))
 
 
-@query("set_difference_all", "SELECT c_nationkey AS k FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 0)")
+@query("set_difference_all", "SELECT c_nationkey AS k FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9900)")
 def _(t):
-    return t("customer").select(F.col("c_nationkey").alias("k")).join(t("supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("k")), "k", "left_anti")
+    return t("customer").select(F.col("c_nationkey").alias("k")).join(t("supplier").where("s_acctbal > 9900").select(F.col("s_nationkey").alias("k")), "k", "left_anti")
 
 
 @query("set_intersection_py", "SELECT user_id, list_has_any(list(DISTINCT event_type), ['click', 'purchase']) AS hit FROM events GROUP BY user_id")

@@ -225,3 +225,39 @@ def test_op_gene_communities_do_not_depend_on_where_ids_lie(spark, tmp_path):
 
     far, border = found(96), found(96 + 6 * 810)  # the second from 4,956 to 5,045
     assert far and far == border and {c for c, _, _ in border} == {"1"}
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_ids_and_chunks_lose_no_wide_rows(spark, partitions):
+    """Branches of one plan whose exchanges differ in width are coalesced unlike each other."""
+    n = 60_000
+    wide = spark.range(n).select(F.xxhash64("id").alias("k"), F.lit(3).cast("long").alias("size"), *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 256).alias(f"w{i}") for i in range(6)]).repartition(partitions)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        ids = R.dense_ids(wide, "k", "id", 5).agg(F.count("*"), F.count_distinct("id"), F.min("id"), F.max("id")).first()
+        assert tuple(ids) == (n, n, 5, n + 4)
+        chunks = R.size_chunks(wide, "k", "size", 1000).groupBy("chunk").agg(F.sum("size").alias("s")).orderBy("chunk").collect()
+        assert sum(r.s for r in chunks) == 3 * n and [r.chunk for r in chunks] == list(range(180)) and all(990 <= r.s <= 1010 for r in chunks)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ids_of_rows_alike_nulls_and_no_rows(spark):
+    rows = spark.createDataFrame([(None, "x"), (None, "x"), ("b", "y"), ("b", "y"), ("a", "z")], "k string, v string")
+    got = sorted((r.id, r.k) for r in R.dense_ids(rows, "k", "id").collect())
+    assert got == [(1, None), (2, None), (3, "a"), (4, "b"), (5, "b")]
+    assert R.dense_ids(rows.limit(0), "k", "id").count() == 0
+
+
+def test_releases_of_many_databases_in_one_plan(spark):
+    staged = spark.createDataFrame([(d, f"a{d}", f"u{d}", 1, 9) for d in range(60)], "dbid int, ac string, upi string, version int, taxid int")
+    xref = spark.createDataFrame([(d, f"a{d}", "old", 1, 1, 1, 1, "N", 9) for d in range(0, 60, 2)] + [(99, "a", "u", 1, 1, 1, 1, "N", 9)], "dbid int, ac string, upi string, version int, version_i int, created int, last int, deleted string, taxid int")
+    after, releases = release.run_releases(xref, staged, 10)
+    assert len(after._jdf.queryExecution().analyzed().toString()) < 60_000
+    assert sorted((r.id, r.dbid) for r in releases.collect()) == [(10 + d, d) for d in range(60)]
+    rows = {(r.dbid, r.upi): (r.version_i, r.created, r["last"], r.deleted) for r in after.collect()}
+    assert len(rows) == 60 + 30 + 1 and rows[99, "u"] == (1, 1, 1, "N")
+    for d in range(60):
+        assert rows[d, f"u{d}"] == (2 if d % 2 == 0 else 1, 10 + d, 10 + d, "N")
+        assert d % 2 or rows[d, "old"] == (1, 1, 1, "Y")
