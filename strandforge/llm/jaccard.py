@@ -475,11 +475,15 @@ def keep_one(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
     told apart by their text.
     """
     groups = common.staged(near_groups(docs, words, num, den), "groups")
-    stay = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max("n_shingles").alias("_n"))
-    kept = docs.join(stay, F.col("doc_id") == F.col("_id"))
-    single = kept.where("_rows = 1 OR _n = 0").select(*docs.columns)
-    first = Window.partitionBy("_id").orderBy("text")
-    several = kept.where("_rows > 1 AND _n > 0").withColumn("_first", F.row_number().over(first)).where("_first = 1").select(*docs.columns)
+    stays = F.col("doc_id") == F.col("component_id")
+    ids = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count_if(stays).alias("_rows"), F.max(F.when(stays, F.col("n_shingles"))).alias("_n"))
+    # what goes is less than what stays; written, so that its size decides how it is joined
+    other = common.staged(ids.where("_rows = 0 OR (_rows > 1 AND _n > 0)"), "gone")
+    on = F.col("doc_id") == F.col("_id")
+    single = docs.where("doc_id IS NOT NULL").join(other, on, "left_anti")
+    several = docs.join(other.where("_rows > 1"), on, "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    several = several.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
     nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"])
     return reduce(DataFrame.unionByName, [single, several, nameless])
 

@@ -157,6 +157,15 @@ def test_jaccard_odd(spark, odd, empty):
     assert Counter(kept) == Counter([1, 3, 4, 5, 6, None, 7, 8, 9])
 
 
+def test_one_document_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:30], "z", *words[31:]])
+    rows = [(5, " ".join(words)), (3, near), (9, near), (3, "other text of some words"), (7, "alone and short"), (8, ""), (8, ""), (None, near), (None, "no id"), (None, "no id"), (4, "b a"), (4, "a b")]
+    got = Counter(tuple(r) for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # of rows with one id that all stay, the smallest text does
+    assert got == Counter([(3, "other text of some words"), (7, "alone and short"), (8, ""), (8, ""), (4, "a b"), (None, near), (None, "no id")])
+
+
 def test_shingles_agree_with_sets_of_words(monkeypatch):
     from strandforge.llm import shingles
 
