@@ -1,8 +1,9 @@
 """Sharding by sampled splitters (law `bytes`: sizes near equal).
 
-Rows are ordered by (hash of the text, hash of doc_id): copies of a text stand
-together, and a text that holds many rows can still be divided between its
-rows. A sample in which a row's chance grows with its size gives quantile
+Rows are ordered by (hash of the text, hash of doc_id, hash of the row's place):
+copies of a text stand together, and rows of one text, or alike in text and
+doc_id, can still be divided. The place is written once with the keys, so every
+later pass reads the same. A sample in which a row's chance grows with its size gives quantile
 boundaries of that order; each row finds its range by binary search. Ranges that
 turn out overfull are subdivided at boundaries from a sample of their own.
 Whole ranges then go to shards, the largest first, each to the shard with the
@@ -32,12 +33,14 @@ RANGE_ROWS = 1_000_000
 #: Sampled keys a range; a range is overfull above so many times the mean.
 SAMPLES, OVERFULL = 16, 2.0
 ROUNDS = 4
+#: What orders rows.
+KEY = ["h1", "h2", "h3"]
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 8
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the two hashes that order rows."""
+    """doc_id, size, text_crc32 and the three hashes that order rows; h3 depends on the row's place, so the table has to be staged."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         "doc_id",
@@ -45,23 +48,24 @@ def sized(docs: DataFrame) -> DataFrame:
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("h1"),
         F.xxhash64(F.lit("row"), F.col("doc_id")).alias("h2"),
+        F.xxhash64(F.lit("place"), F.monotonically_increasing_id()).alias("h3"),
     )
 
 
-def _sample(rows: DataFrame, total: int, wanted: int) -> list[tuple[int, int, float]]:
-    """(h1, h2, bytes it stands for) of about `wanted` rows at most; a row's chance is in proportion to its size."""
+def _sample(rows: DataFrame, total: int, wanted: int) -> list[tuple[int, int, int, float]]:
+    """(h1, h2, h3, bytes it stands for) of about `wanted` rows at most; a row's chance is in proportion to its size."""
     chance = F.least(F.lit(1.0), F.col("size") * F.lit(wanted / total))
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "h1", "h2"), 11).cast("double") + 0.5) / float(2**53)
-    picked = rows.select("h1", "h2", (F.col("size") / chance).alias("w"), u.alias("u"), chance.alias("p")).where("u < p")
-    return sorted((r["h1"], r["h2"], r["w"]) for r in picked.select("h1", "h2", "w").collect())
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit("sample"), *KEY), 11).cast("double") + 0.5) / float(2**53)
+    picked = rows.select(*KEY, (F.col("size") / chance).alias("w"), u.alias("u"), chance.alias("p")).where("u < p")
+    return sorted((r["h1"], r["h2"], r["h3"], r["w"]) for r in picked.select(*KEY, "w").collect())
 
 
-def _quantiles(sample: list[tuple[int, int, float]], ranges: int) -> list[tuple[int, int]]:
+def _quantiles(sample: list[tuple[int, int, int, float]], ranges: int) -> list[tuple[int, int, int]]:
     """At most ranges - 1 keys that divide the sample's bytes evenly; a key starts a new range."""
-    total, found, sofar = sum(w for _, _, w in sample), [], 0.0
-    for h1, h2, w in sample:
-        if sofar * ranges >= total * (len(found) + 1) and (not found or found[-1] < (h1, h2)):
-            found.append((h1, h2))
+    total, found, sofar = sum(w for *_, w in sample), [], 0.0
+    for *key, w in sample:
+        if sofar * ranges >= total * (len(found) + 1) and (not found or found[-1] < tuple(key)):
+            found.append(tuple(key))
         sofar += w
     return found
 
@@ -70,19 +74,19 @@ def _literal(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), kind)
 
 
-def range_of(splitters: list[tuple[int, int]]) -> Column:
-    """How many splitters are at or below the row's key, by binary search."""
+def range_of(splitters: list[tuple[int, ...]]) -> Column:
+    """How many splitters are at or below the row's key, by binary search; splitters may be of the key's first columns."""
     if not splitters:
         return F.lit(0)
-    keys = _literal([{"a": a, "b": b} for a, b in splitters], "array<struct<a:bigint,b:bigint>>")
+    names = KEY[: len(splitters[0])]
+    keys = _literal([dict(zip(names, s)) for s in splitters], f"array<struct<{','.join(f'{c}:bigint' for c in names)}>>")
     n = len(splitters)
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
 
     def step(at: Column, width: Column) -> Column:
         to = at + width
         mid = F.get(keys, F.least(to, F.lit(n)) - 1)
-        below = (mid["a"] < F.col("h1")) | ((mid["a"] == F.col("h1")) & (mid["b"] <= F.col("h2")))
-        return F.when((to <= n) & below, to).otherwise(at)
+        return F.when((to <= n) & (mid <= F.struct(*names)), to).otherwise(at)
 
     return F.aggregate(steps, F.lit(0), step)
 
@@ -95,14 +99,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, range_rows: int = RANGE_ROWS) -
     splitters = _quantiles(_sample(rows, total, ranges * SAMPLES), ranges) if total else []
     for k in range(ROUNDS + 1):  # the last time, ranges stay as they are
         at = rows.withColumn("range", range_of(splitters))
-        found = at.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max(F.struct("h1", "h2")).alias("top"), F.min(F.struct("h1", "h2")).alias("low")).collect()
+        found = at.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.max(F.struct(*KEY)).alias("top"), F.min(F.struct(*KEY)).alias("low")).collect()
         over = [r for r in found if r["bytes"] > OVERFULL * total / ranges and r["top"] != r["low"]]
         if not over or k == ROUNDS:
             break
         inside = at.join(F.broadcast(at.sparkSession.createDataFrame([(r["range"],) for r in over], "range int")), "range", "left_semi")
         much = sum(r["bytes"] for r in over)
         parts = -(-int(much * ranges * OVERFULL) // total) + len(over)
-        more = _quantiles(_sample(inside.select("h1", "h2", "size"), much, parts * SAMPLES), parts)
+        more = _quantiles(_sample(inside.select(*KEY, "size"), much, parts * SAMPLES), parts)
         more = sorted({*splitters, *more})
         if len(more) == len(splitters):
             break
@@ -116,7 +120,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, range_rows: int = RANGE_ROWS) -
     for r in sorted(found, key=lambda r: r["range"]):
         s = owner[r["range"]]
         first[r["range"]], slots[s] = slots[s], slots[s] + r["n"]
-    inner = F.row_number().over(Window.partitionBy("range").orderBy("h1", "h2", "doc_id", "text_crc32", "size"))
+    inner = F.row_number().over(Window.partitionBy("range").orderBy(*KEY, "doc_id", "text_crc32", "size"))
     return at.select(
         "doc_id", "size", "text_crc32", "range",
         F.get(_literal(owner, "array<int>"), F.col("range")).alias("shard"),

@@ -106,6 +106,17 @@ def test_sharding_subdivides_a_hot_key(spark):
     assert max(loads.values()) < 1.02 * min(loads.values())
 
 
+def test_sharding_divides_rows_alike_in_doc_id_and_text(spark):
+    same = F.col("id") % 3 == 0
+    df = spark.range(4500).select(F.when(~same, F.col("id")).alias("doc_id"), F.when(~same, F.concat(F.lit("t"), F.col("id").cast("string"))).alias("text"))
+    out = sharding.shard(df, 4)
+    rows = out.collect()
+    loads = check_shards(rows, [(r.doc_id, r.text) for r in df.collect()], 4)
+    assert max(loads.values()) < 1.05 * min(loads.values())
+    alike = [r["range"] for r in rows if r.doc_id is None]
+    assert len(alike) == 1500 and max(alike.count(k) for k in set(alike)) < 150
+
+
 def test_binary_search(spark):
     splitters = [(-5, 0), (-5, 7), (3, 1), (3, 1 << 40)]
     df = spark.createDataFrame([(a, b) for a in (-9, -5, 0, 3, 9) for b in (-1, 0, 1, 7, 1 << 41)], "h1 long, h2 long").withColumn("r", sharding.range_of(splitters))
