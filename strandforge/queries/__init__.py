@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .base import QUERIES, SQL
-from . import aggregates, domain, joins, relational, scalars  # noqa: F401  (they register themselves)
+from . import aggregates, domain, joins, lookups, relational, scalars  # noqa: F401  (they register themselves)
 
 __all__ = ["QUERIES", "SQL"]
