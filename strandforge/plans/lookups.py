@@ -61,8 +61,8 @@ def mirtron_relations(entries: DataFrame) -> DataFrame:
     once = entries.groupBy("accession").agg(F.first("kind").alias("kind"), F.first("sequence").alias("sequence"), twice.alias("_twice")).where("_twice IS NULL")
     mature = once.where("kind = 'mature'").select(F.regexp_replace("accession", "-[35]p", "").alias("_pre"), F.col("accession").alias("_mature"), F.col("sequence").alias("_product"))
     pre = once.where("kind = 'precursor'").select(F.col("accession").alias("_pre"), F.col("sequence").alias("_whole"), F.lit(True).alias("_known"))
-    at = F.nullif(F.instr("_whole", F.col("_product")), F.lit(0)) - 1
-    none = F.lit(None).cast("int")
+    at = F.nullif(F.instr("_whole", F.col("_product")), F.lit(0)).cast("long") - 1
+    none = F.lit(None).cast("long")
     row = lambda a, b, r, start, stop: F.struct(F.col(a).alias("accession"), F.col(b).alias("related"), r.alias("relationship"), start.alias("start"), stop.alias("stop"))
     pair = F.array(row("_pre", "_mature", F.lit("mature_product"), at, at + F.length("_product")), row("_mature", "_pre", F.lit("precursor"), none, none))
     alone = F.array(row("_mature", "_pre", F.lit(None).cast("string"), none, none))
