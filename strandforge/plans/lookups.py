@@ -96,3 +96,28 @@ def merge_sorted(*parts: DataFrame) -> DataFrame:
 def write_copy(df: DataFrame, path: str, header: bool = True, quote_all: bool = False) -> None:
     """CSV as COPY writes it: quotes doubled, nulls empty and unquoted, empty texts quoted."""
     df.write.mode("errorifexists").csv(path, header=header, quote='"', escape='"', quoteAll=quote_all, nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def rfam_models(models: DataFrame) -> DataFrame:
+    """Models that have an ontology term, with their source and the taxid of cellular organisms (131567, a fixed value)."""
+    return models.where("so_rna_type IS NOT NULL").select("rfam_model_id", F.lit("rfam").alias("source"), F.lit(131567).alias("taxid"), "so_rna_type", "rna_type")
+
+
+def chain_sequences(chains: DataFrame, xref: DataFrame, precomputed: DataFrame, rna: DataFrame, accessions: DataFrame) -> DataFrame:
+    """pdb_id, chain_id, id, sequence, taxid, so_rna_type for all wanted chains at once; xref: the active rows of the database.
+
+    The chains, which are few against the tables, join the accessions first; whole sequences join last.
+    """
+    wanted = accessions.select(F.col("accession").alias("ac"), F.col("parent_ac").alias("id"), F.col("external_id").alias("pdb_id"), F.col("optional_id").alias("chain_id"))
+    found = wanted.join(chains.select("pdb_id", "chain_id").distinct(), ["pdb_id", "chain_id"]).join(xref.select("ac", "upi", "taxid"), "ac")
+    typed = found.join(precomputed.select("upi", "taxid", "so_rna_type"), ["upi", "taxid"])
+    texts = rna.select("upi", F.coalesce("seq_short", "seq_long").alias("sequence"))
+    return typed.join(texts, "upi").select("pdb_id", "chain_id", "id", "sequence", "taxid", "so_rna_type")
+
+
+def hgnc_fix(accessions: DataFrame, keys: list[str], columns: tuple[str, ...] = ("feature_name", "ncrna_class")) -> DataFrame:
+    """HGNC rows take the columns of the RefSeq row of their sequence, if it has exactly one; other rows stay. No plan here applies it by itself."""
+    one = accessions.where("lower(database) = 'refseq'").groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(f"_{c}") for c in columns]).where("_n = 1")
+    take = (F.lower("database") == "hgnc") & F.col("_n").isNotNull()
+    rows = accessions.join(one, keys, "left")
+    return rows.select(*[F.when(take, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in accessions.columns])

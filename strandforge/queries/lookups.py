@@ -77,3 +77,33 @@ def _(t):
 @query("sort_merge_files", "SELECT c_nationkey AS nation, c_mktsegment AS word FROM customer UNION SELECT s_nationkey, s_name FROM supplier")
 def _(t):
     return lookups.merge_sorted(t("customer").select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("word")), t("supplier").select("s_nationkey", "s_name"))
+
+
+@query("py_rfam_models", "SELECT p_name AS rfam_model_id, 'rfam' AS source, 131567 AS taxid, p_brand AS so_rna_type, p_type AS rna_type FROM part WHERE p_size > 10")
+def _(t):
+    models = t("part").select(F.col("p_name").alias("rfam_model_id"), F.when(F.col("p_size") > 10, F.col("p_brand")).alias("so_rna_type"), F.col("p_type").alias("rna_type"))
+    return lookups.rfam_models(models)
+
+
+@query(
+    "py_ribovision_query",
+    "SELECT o_orderpriority AS pdb_id, o_orderstatus AS chain_id, 'P' || o_orderkey AS id, c_name AS sequence, c_nationkey AS taxid, c_mktsegment AS so_rna_type FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority LIKE '1%' AND o_totalprice > 1000",
+)
+def _(t):
+    orders, customer = t("orders"), t("customer")
+    accessions = orders.select(F.col("o_orderkey").alias("accession"), F.concat(F.lit("P"), F.col("o_orderkey").cast("string")).alias("parent_ac"), F.col("o_orderpriority").alias("external_id"), F.col("o_orderstatus").alias("optional_id"))
+    chains = orders.where("o_orderpriority LIKE '1%' AND o_orderstatus IN ('F', 'O')").select(F.col("o_orderpriority").alias("pdb_id"), F.col("o_orderstatus").alias("chain_id"))
+    sequences = customer.select(F.col("c_custkey").alias("upi"), F.col("c_nationkey").alias("taxid"), F.col("c_mktsegment").alias("so_rna_type"))
+    xref = orders.where("o_totalprice > 1000").select(F.col("o_orderkey").alias("ac"), F.col("o_custkey").alias("upi")).join(sequences.select("upi", "taxid"), "upi")
+    rna = customer.select(F.col("c_custkey").alias("upi"), F.col("c_name").alias("seq_short"), F.lit(None).cast("string").alias("seq_long"))
+    return lookups.chain_sequences(chains, xref, sequences, rna, accessions)
+
+
+@query(
+    "op_hgnc_fix",
+    "WITH r AS (SELECT l_orderkey AS k, min(l_shipdate::DATE::VARCHAR) AS f, min(l_linestatus) AS c FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) = 1) SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' AND k IS NOT NULL THEN f ELSE l_shipdate::DATE::VARCHAR END AS feature_name, CASE WHEN l_returnflag = 'A' AND k IS NOT NULL THEN c ELSE l_linestatus END AS ncrna_class FROM lineitem LEFT JOIN r ON k = l_orderkey",
+)
+def _(t):
+    database = F.when(F.col("l_returnflag") == "R", "refseq").when(F.col("l_returnflag") == "A", "hgnc").otherwise("ena")
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", database.alias("database"), F.to_date("l_shipdate").cast("string").alias("feature_name"), F.col("l_linestatus").alias("ncrna_class"))
+    return lookups.hgnc_fix(rows, ["l_orderkey"]).drop("database")

@@ -57,3 +57,10 @@ def test_merge_and_copy(spark, tmp_path):
     lookups.write_copy(merged.coalesce(1), str(tmp_path / "out"))
     lines = next((tmp_path / "out").glob("part*")).read_text().splitlines()
     assert lines[0] == "k,v" and sorted(lines[1:]) == ["a,", 'a,""', 'b,"x ""y"", z"', "c, s "]
+
+
+def test_hgnc_fix(spark):
+    rows = [(1, "hgnc", "a", "x"), (1, "RefSeq", "b", None), (2, "hgnc", "a", "x"), (2, "refseq", "b", "y"), (2, "refseq", "c", "z"), (3, "hgnc", "a", "x")]
+    df = spark.createDataFrame(rows, "upi int, database string, feature_name string, ncrna_class string")
+    want = [(1, "hgnc", "b", None) if r == rows[0] else r for r in rows]
+    assert sorted(map(str, (tuple(r) for r in lookups.hgnc_fix(df, ["upi"]).collect()))) == sorted(map(str, want))
